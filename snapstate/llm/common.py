@@ -54,8 +54,8 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
 
 
-def with_group(rows: DataFrame, keys: list[str], salt_on: list[str], aggs: dict[str, tuple[Column, str]], salts: int = 256) -> DataFrame:
-    """Each row with statistics of its group; keys must not be null.
+def with_group(rows: DataFrame, keys: list[str], salt_on: list[str], aggs: dict[str, tuple[Column, str]], having: str | None = None, salts: int = 256) -> DataFrame:
+    """Each row with statistics of its group, of groups that meet `having`; keys must not be null.
 
     aggs: name -> (aggregate of the rows, name of the SQL function that joins partial ones). A group is dealt over
     `salts` parts: partial aggregates per (group, part) meet in a window of at most `salts` rows a group, and rows
@@ -65,7 +65,7 @@ def with_group(rows: DataFrame, keys: list[str], salt_on: list[str], aggs: dict[
     part = salted.groupBy(*keys, "_salt").agg(*[a.alias(n) for n, (a, _) in aggs.items()])
     whole = Window.partitionBy(*keys)
     full = part.select(*keys, "_salt", *[F.expr(f"{again}({n})").over(whole).alias(n) for n, (_, again) in aggs.items()])
-    return salted.join(full, [*keys, "_salt"]).drop("_salt")
+    return salted.join(full.where(having) if having else full, [*keys, "_salt"]).drop("_salt")
 
 
 def running(rows: DataFrame, group: str, order: str, ties: list[str], value: str, name: str, bits: int = 8) -> DataFrame:

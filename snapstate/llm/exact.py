@@ -31,19 +31,20 @@ def _place(sha: Column, pages: int) -> tuple[Column, Column, Column]:
     return F.pmod(F.xxhash64(sha), F.lit(pages)), F.pmod(bits, F.lit(PAGE_BITS)), F.pmod(F.shiftright(bits, 32), F.lit(PAGE_BITS))
 
 
-def repeated_filter(hashes: DataFrame, rows: int, max_filter_mb: int = MAX_FILTER_MB) -> tuple[DataFrame, int] | None:
-    """Pass one over a column `sha`: pages (_page, _bits) of the filter, and how many pages there are; None if the
-    filter would be larger than max_filter_mb, where every row has to count as possibly repeated."""
+def bloom_filter(hashes: DataFrame, rows: int, max_filter_mb: int = MAX_FILTER_MB, at_least: int = 2) -> tuple[DataFrame, int] | None:
+    """Pass one over a column `sha` of `rows` rows: pages (_page, _bits) of the filter of bits asked for at_least
+    times, and how many pages there are; None if it would be larger than max_filter_mb, where every row has to count
+    as a possible member."""
     pages = max(1, -(-rows * BITS_PER_ROW // PAGE_BITS))
     if pages * (PAGE_BITS // 8) > max_filter_mb << 20:
         return None
     page, one, two = _place(F.col("sha"), pages)
     asked = hashes.select(page.alias("_page"), F.explode(F.array(one, two)).alias("_bit")).groupBy("_page", "_bit").count()
-    return asked.where("count > 1").groupBy("_page").agg(F.expr("bitmap_construct_agg(_bit)").alias("_bits")), pages
+    return asked.where(F.col("count") >= at_least).groupBy("_page").agg(F.expr("bitmap_construct_agg(_bit)").alias("_bits")), pages
 
 
-def flag_repeats(rows: DataFrame, found: tuple[DataFrame, int] | None) -> DataFrame:
-    """Pass two: adds `_maybe`, false only where the row's `sha` surely occurs once."""
+def flag_members(rows: DataFrame, found: tuple[DataFrame, int] | None) -> DataFrame:
+    """Pass two: adds `_maybe`, false only where the row's `sha` surely is no member of the filter."""
     if found is None:
         return rows.withColumn("_maybe", F.lit(True))
     table, pages = found
@@ -61,7 +62,7 @@ def flag_repeats(rows: DataFrame, found: tuple[DataFrame, int] | None) -> DataFr
 def duplicate_report(docs: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     narrow = keep(docs.select("doc_id", _sha().alias("sha"), F.monotonically_increasing_id().alias("_tag")), "exact")
-    flagged = flag_repeats(narrow, repeated_filter(narrow, narrow.count(), max_filter_mb))
+    flagged = flag_members(narrow, bloom_filter(narrow, narrow.count(), max_filter_mb))
     once = flagged.where(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha")
     best = F.struct("doc_id", "_tag")
     again = with_group(flagged.where("_maybe"), ["sha"], ["doc_id", "_tag"], {"_best": (F.max(best), "max"), "group_size": (F.count("*"), "sum")})
@@ -77,9 +78,9 @@ def deduplicate(docs: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> DataFram
     """
     names = docs.columns
     hashes = docs.select(_sha().alias("sha"))
-    found = repeated_filter(hashes, docs.count(), max_filter_mb)
+    found = bloom_filter(hashes, docs.count(), max_filter_mb)
     rows = docs.select(F.struct(*names).alias("_row"), _sha().alias("sha"))
-    flagged = flag_repeats(rows, found)
+    flagged = flag_members(rows, found)
     rank = F.struct(F.col("_row.doc_id"), F.xxhash64("_row"))
     best = flagged.where("_maybe").groupBy("sha").agg(F.max_by("_row", rank).alias("_row"))
     return flagged.where(~F.col("_maybe")).select("_row.*").unionByName(best.select("_row.*"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, shards
+from . import exact, mixing, near, packing, shards, toxicity
 from .common import documents
 from .oracle import oracle_sql  # noqa: F401  part of this module's interface
 
@@ -23,14 +23,24 @@ def op6_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(documents(spark, sf_dir))
 
 
+def op7_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.report(documents(spark, sf_dir))
+
+
 def op8_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(documents(spark, sf_dir))
 
 
+def op10_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_best_fit_packing": op2_best_fit_packing,
         "op4_bloom_exact_dedup": op4_bloom_exact_dedup,
         "op6_jump_hash_shards": op6_jump_hash_shards,
+        "op7_odd_sketch_near_dedup": op7_odd_sketch_near_dedup,
         "op8_curriculum_mixing": op8_curriculum_mixing,
+        "op10_boosted_toxicity": op10_boosted_toxicity,
     }
