@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -42,6 +43,12 @@ def drop_kept(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settle(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of finished phases; it waits for the driver's garbage otherwise."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
