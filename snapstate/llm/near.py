@@ -6,12 +6,13 @@ XOR of two sketches has a bit for almost every value that differs, so its popula
 most precisely where it is high. Pairs that share a band, have sizes that allow THRESHOLD and an estimate of at least
 SCREEN (over four standard errors below it) are confirmed on their full sets.
 
-Documents with equal sets are one node. Links are found in rounds. In the first, each node of a bucket (the nodes of
-one band key) is paired with the bucket's smallest node; that joins most of a group of copies of any size with one
-row per member. Later rounds look only at buckets with nodes of more than one component, and compare the nodes
-outside the bucket's first component with all others, block against block, on sketches alone; each such node
-asks for its most similar partners in other components. The rounds end when no node had to leave a partner out. So no
-pair is lost to a cap, and the pairs written stay near the number of nodes.
+Documents with equal sets are one node. First, each node of a bucket (the nodes of one band key) is paired with the
+bucket's smallest node; that joins most of a group of copies of any size with one row per member. Then only buckets
+with nodes of more than one component are left, and in each the nodes outside its first component meet all others,
+block against block: sketches find the pairs that may be links, from the likeliest on, and the full sets confirm
+those whose ends are not joined yet. A pair is tried in the first bucket it shares only. What a block returns are links that
+join something, fewer than its nodes, however many pairs it looks at; so no pair is lost to a cap and none is written
+in vain.
 
 With 32 bands of 4, a pair at exactly 0.75 shares no band with probability 5e-6, and fails the screen with 1e-5.
 
@@ -31,14 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_kept, groups_of, keep, whole_text, with_group
+from .common import drop_kept, groups_of, keep, settle, whole_text, with_group
 from .components import components
 from .exact import bloom_filter, flag_members
 
 WORDS, BANDS, ROWS, SAMPLES, SKETCH_BITS = 5, 32, 4, 256, 1024
 THRESHOLD, SCREEN = 75, 0.62  # THRESHOLD in hundredths
-#: Rows of a bucket's block, partners a node may ask for in the first round of blocks, parts of a hub's links.
-BLOCK, PARTNERS, PARTS = 2048, 4, 256
+#: Nodes and shingles of a bucket's block, and the parts that a hub's pairs are dealt into.
+BLOCK, BLOCK_SHINGLES, PARTS = 1024, 400_000, 256
 
 _RANDOM = np.random.default_rng(20_240)
 FACTORS = _RANDOM.integers(0, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,8 +79,13 @@ def shingles(text: bytes, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
 
 def min_hashes(found: np.ndarray) -> np.ndarray:
     out = np.full(SAMPLES, ~np.uint64(0))
+    room = np.empty((min(128, len(found)), SAMPLES), np.uint64)
     for at in range(0, len(found), 128):
-        np.minimum(out, (found[at : at + 128, None] * FACTORS + TERMS).min(0), out=out)
+        some = found[at : at + 128, None]
+        part = room[: len(some)]
+        np.multiply(some, FACTORS, out=part)
+        np.add(part, TERMS, out=part)
+        np.minimum(out, part.min(0), out=out)
     return out
 
 
@@ -151,52 +157,92 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if role == 0:
                     held.append((node, found))
                     continue
-                for other, full in held:
-                    if min(len(full), len(found)) * 100 < max(len(full), len(found)) * THRESHOLD:
-                        continue
-                    both = len(np.intersect1d(full, found, assume_unique=True))
-                    if other != node and 100 * both >= THRESHOLD * (len(full) + len(found) - both):
-                        out.append((other, node))
+                out += [(other, node) for other, full in held if other != node and is_link(full, found)]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _crossing(members: DataFrame, nodes: DataFrame, labels: DataFrame, partners: int) -> DataFrame:
-    """Screened pairs a, b of one bucket in different components, at most `partners` for each node outside the
-    bucket's first component; `more` tells whether the node had others."""
-    rows = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    rows = with_group(rows, ["key"], ["node"], {"n": (F.count("*"), "sum"), "home": (F.min("comp"), "min"), "far": (F.max("comp"), "max")}, "home < far")
-    rows = with_group(rows, ["key"], ["node"], {"n_out": (F.sum((F.col("comp") != F.col("home")).cast("long")), "sum")})
-    rows = rows.join(nodes.select("node", "n_shingles", "odd"), "node")
-    blocks, outs = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("n_out") / BLOCK).cast("int")
-    rows = rows.withColumns({"i": F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int"), "j": F.pmod(F.xxhash64("node", F.lit(1)), outs.cast("long")).cast("int"), "out": F.col("comp") != F.col("home")})
+def is_link(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two sets reach the threshold."""
+    low, high = sorted((len(one), len(two)))
+    if low * 100 < high * THRESHOLD:
+        return False
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= THRESHOLD * (low + high - both)
+
+
+def block_links(band: int, comp: np.ndarray, n: np.ndarray, odd: np.ndarray, keys: np.ndarray, own: np.ndarray, asks: np.ndarray, full) -> list[tuple[int, int]]:
+    """Links between rows `asks` and `own` of one bucket that join components, given the rows' component, size, sketch
+    and band keys; full(row) gives a row's set."""
+    limit = most_flips(SCREEN)
+    found = []
+    for k in asks:
+        fit = own[(comp[own] != comp[k]) & (np.minimum(n[own], n[k]) * 100 >= np.maximum(n[own], n[k]) * THRESHOLD)]
+        flips = np.bitwise_count(odd[fit] ^ odd[k]).sum(1, dtype=np.int64)
+        fit, flips = fit[flips <= limit], flips[flips <= limit]
+        first = (keys[fit] == keys[k]).argmax(1) == band
+        if first.any():
+            found.append(np.stack([flips[first], np.full(first.sum(), k), fit[first]]))
+    out: list[tuple[int, int]] = []
+    if not found:
+        return out
+    root: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while (up := root.get(c, c)) != c:
+            root[c] = root.get(up, up)
+            c = up
+        return c
+
+    pairs = np.concatenate(found, 1)
+    pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+    names = comp.tolist()
+    for a, b in zip(pairs[1].tolist(), pairs[2].tolist(), strict=True):
+        x, y = top(names[a]), top(names[b])
+        if x != y and is_link(full(a), full(b)):
+            root[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out
+
+
+def _joining(members: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links a, b between nodes of one bucket in different components, enough to join all that links join."""
+    rows = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("comp", "node").alias("comp"))
+    rows = with_group(rows, ["key"], ["node"], {"home": (F.min("comp"), "min"), "far": (F.max("comp"), "max")}, "home < far").drop("far")
+    rows = rows.join(nodes.select("node", "n_shingles", "odd", "keys"), "node").withColumn("out", F.col("comp") != F.col("home"))
+    outside = F.when(F.col("out"), F.col("n_shingles")).otherwise(0)
+    rows = with_group(rows, ["key"], ["node"], {"n": (F.count("*"), "sum"), "n_out": (F.sum(F.col("out").cast("long")), "sum"), "s": (F.sum("n_shingles"), "sum"), "s_out": (F.sum(outside), "sum")})
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
+    outs = F.greatest(F.ceil(F.col("n_out") / BLOCK), F.ceil(F.col("s_out") / BLOCK_SHINGLES)).cast("int")
+    rows = rows.withColumns({"i": F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int"), "j": F.pmod(F.xxhash64("node", F.lit(1)), outs.cast("long")).cast("int")})
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     mine = rows.withColumns({"jj": F.explode(upto(outs)), "ii": F.col("i"), "asks": F.lit(False)})
     asks = rows.where("out").withColumns({"ii": F.explode(upto(blocks)), "jj": F.col("j"), "asks": F.lit(True)})
-    cells = mine.unionByName(asks).select(F.xxhash64("key", "ii", "jj").alias("cell"), "asks", "node", "comp", "n_shingles", "odd")
-    cells = cells.repartition("cell").sortWithinPartitions("cell", "asks", "node")
-    limit = most_flips(SCREEN)
+    small = F.transform("keys", lambda x: F.shiftright(x, 32).cast("int"))
+    cells = mine.unionByName(asks).groupBy("key", "ii", "jj", "node").agg(*[F.first(c).alias(c) for c in ("band", "comp", "n_shingles", "odd", "keys")], F.max(F.when(~F.col("asks"), True)).alias("own"), F.max(F.when(F.col("asks"), True)).alias("ask"))
+    cells = cells.join(texts, "node").select(F.xxhash64("key", "ii", "jj").alias("cell"), "band", "node", "comp", "n_shingles", "odd", small.alias("keys"), F.coalesce("own", F.lit(False)).alias("own"), F.coalesce("ask", F.lit(False)).alias("ask"), "text")
+    cells = cells.repartition("cell").sortWithinPartitions("cell", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for t in groups_of(batches, "cell"):
-            ask = t.column("asks").to_numpy()
-            node, comp, n = (t.column(c).to_numpy() for c in ("node", "comp", "n_shingles"))
+            node, comp, n, own, ask = (t.column(c).to_numpy() for c in ("node", "comp", "n_shingles", "own", "ask"))
             odd = np.stack(t.column("odd").to_numpy(zero_copy_only=False)).view(np.uint64)
-            own, mark = np.flatnonzero(~ask), np.flatnonzero(ask)
-            a, b, more = [], [], []
-            for k in mark:
-                fit = own[(comp[own] != comp[k]) & (np.minimum(n[own], n[k]) * 100 >= np.maximum(n[own], n[k]) * THRESHOLD)]
-                flips = np.bitwise_count(odd[fit] ^ odd[k]).sum(1, dtype=np.int64)
-                fit, flips = fit[flips <= limit], flips[flips <= limit]
-                best = fit[np.argsort(flips, kind="stable")[:partners]]
-                a += np.minimum(node[best], node[k]).tolist()
-                b += np.maximum(node[best], node[k]).tolist()
-                more += [len(fit) > partners] * len(best)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], ["a", "b", "more"])
-
-    return cells.mapInArrow(run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+            keys = np.stack(t.column("keys").to_numpy(zero_copy_only=False))
+            text, sets = t.column("text"), {}
+
+            def full(row: int) -> np.ndarray:
+                if row not in sets:
+                    sets[row] = shingles(text[row].as_py(), hashes)
+                return sets[row]
+
+            links = block_links(t.column("band")[0].as_py(), comp, n, odd, keys, np.flatnonzero(own), np.flatnonzero(ask), full)
+            if links:
+                a, b = node[np.array(links)].T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return cells.mapInArrow(run, "a long, b long").distinct()
 
 
 def assigned(docs: DataFrame) -> DataFrame:
@@ -206,28 +252,20 @@ def assigned(docs: DataFrame) -> DataFrame:
     grouped = keep(with_group(sketches.where("n_shingles > 0"), ["digest"], ["tag"], {"node": (F.min("tag"), "min")}), "nodes")
     nodes = grouped.where("tag = node")
 
-    buckets = nodes.select(F.explode("keys").alias("key"), "node")
-    members = keep(with_group(buckets, ["key"], ["node"], {"n": (F.count("*"), "sum"), "first": (F.min("node"), "min")}, "n > 1").select("key", "node", "first"), "members")
+    buckets = nodes.select(F.posexplode("keys").alias("band", "key"), "node")
+    members = keep(with_group(buckets, ["key"], ["node"], {"n": (F.count("*"), "sum"), "first": (F.min("node"), "min")}, "n > 1").select("key", "band", "node", "first"), "members")
     pairs = members.where("node > first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
     asked = keep(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node").withColumn("sha", F.xxhash64("doc_id", "text_hash")), "asked")
     rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(whole_text())).alias("sha"), F.encode(whole_text(), "utf-8").alias("text"))
     rows = flag_members(rows, bloom_filter(asked, asked.count(), at_least=1)).where("_maybe")
     texts = keep(rows.join(asked.select("sha", "node"), "sha").groupBy("sha").agg(F.first("node").alias("node"), F.first("text").alias("text")).drop("sha"), "texts")
+    settle(docs.sparkSession)
 
     links = keep(_confirmed(_screened(pairs, nodes), texts), "links")
+    links = keep(links.unionByName(_joining(members, nodes, components(links), texts)), "links")
     labels = components(links)
-    partners = PARTNERS
-    while True:
-        crossing = keep(_crossing(members.select("key", "node"), nodes, labels, partners), "crossing")
-        found = crossing.agg(F.count("*").alias("n"), F.coalesce(F.max("more"), F.lit(False)).alias("more")).first()
-        if not found["n"]:
-            break
-        links = keep(links.unionByName(_confirmed(crossing.select("a", "b"), texts)).distinct(), "links")
-        labels = components(links)
-        if not found["more"]:
-            break
-        partners *= 8
+    settle(docs.sparkSession)
 
     whole = grouped.select("tag", "doc_id", "text_hash", "n_shingles", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     best = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
