@@ -6,7 +6,8 @@ its anchor: the GRAM-byte piece of it with the smallest hash. Equal strings have
 strings with one anchor makes a context, up to 168 bytes, about one for each 35 bytes of text.
 
 1. Grams that anchor only once in the corpus are ruled out by counting hashes, with a Bloom filter for the test.
-2. Of equal contexts all but the earliest are repeated outright: only hashes travel.
+2. Of equal contexts all but the earliest are repeated outright: only hashes travel, and those of a context that is
+   everywhere meet in their batches first.
 3. What is left are different contexts around one gram, such as the ends of a passage that documents share. Their
    texts are dealt into shards; each builds a suffix array (Larsson-Sadakane refinement), common prefixes (Kasai, one
    lane per context) and so finds the equal strings. A gram with very many contexts is dealt over several shards, and
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_kept, groups_of, keep, settle, whole_text, with_group
@@ -122,20 +123,42 @@ def _grams(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """gram, context, d, th, lo, hi of every context."""
-    names = ["gram", "context", "d", "th", "lo", "hi"]
+    """gram, context, d, th, lo, hi of the contexts, and `again`: whether an equal one came earlier in the same batch
+    of rows. So, of a context that is everywhere, each batch sends on one row that is not settled yet."""
+    names = ["gram", "context", "d", "th", "lo", "hi", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             d, th = b.column(0).to_numpy(), b.column(1).to_numpy()
+            found: list[tuple[np.ndarray, ...]] = []
             for data, ends, rows, begins in pieces_of(b.column(2)):
                 start, stop, gram, context = anchors(data, ends, True)
                 piece = np.searchsorted(ends, start, side="right")
                 shift = np.array(begins) - np.concatenate([[0], ends[:-1]])
                 row = np.array(rows)[piece]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram.view(np.int64), context.view(np.int64), d[row], th[row], start + shift[piece], stop + shift[piece])], names)
-
-    return docs.select("d", "th", "text").mapInArrow(run, "gram long, context long, d long, th long, lo long, hi long")
+                found.append((gram.view(np.int64), context.view(np.int64), d[row], th[row], start + shift[piece], stop + shift[piece]))
+            if found:
+                columns = [np.concatenate(x) for x in zip(*found, strict=True)]
+                kept, again = _in_batch(*columns[:5])
+                yield pa.RecordBatch.from_arrays([*[pa.array(c[kept]) for c in columns], pa.array(again)], names)
+
+    return docs.select("d", "th", "text").mapInArrow(run, "gram long, context long, d long, th long, lo long, hi long, again boolean")
+
+
+def _in_batch(gram: np.ndarray, context: np.ndarray, d: np.ndarray, th: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows to keep (repeats of one document's row go), and whether each comes after an equal context."""
+    turn = np.argsort(gram ^ (context * np.int64(0x2545F4914F6CDD1D)), kind="stable")
+    same = (gram[turn][1:] == gram[turn][:-1]) & (context[turn][1:] == context[turn][:-1])
+    some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    rest, many = turn[~some], turn[some]
+    if not len(many):
+        return rest, np.zeros(len(rest), bool)
+    group = np.cumsum(~np.concatenate([[False], same]))[some]
+    in_order = np.lexsort((lo[many], th[many], d[many], group))
+    many, group = many[in_order], group[in_order]
+    new = np.concatenate([[True], group[1:] != group[:-1]])
+    twin = np.concatenate([[False], (group[1:] == group[:-1]) & (d[many][1:] == d[many][:-1]) & (th[many][1:] == th[many][:-1]) & (lo[many][1:] == lo[many][:-1])])
+    return np.concatenate([rest, many[~twin]]), np.concatenate([np.zeros(len(rest), bool), ~new[~twin]])
 
 
 def suffix_order(codes: np.ndarray, context: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -288,19 +311,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     counted = keep(_grams(docs).groupBy("gram").count().where("count > 1").select(F.col("gram").alias("sha")), "grams")
     settle(spark)
     known = bloom_filter(counted, counted.count(), at_least=1)
-    found = flag_members(_contexts(docs).withColumn("sha", F.col("gram")), known).where("_maybe").drop("sha", "_maybe")
-    if known is None:
+    found = _contexts(docs)
+    if known:
+        found = flag_members(found.withColumn("sha", F.col("gram")), known).where("_maybe").drop("sha", "_maybe")
+    else:
         found = found.join(counted.withColumnRenamed("sha", "gram"), "gram", "left_semi")
-    found = keep(found, "contexts")
-    where = F.struct("d", "th", "lo")
-    firsts = keep(with_group(found, ["gram", "context"], ["d", "th", "lo"], {"first": (F.min(where), "min")}).withColumn("again", F.col("first") != where).drop("first"), "firsts")
-    drop_kept(found)
+    apart = F.when(F.col("again"), F.xxhash64("d", "th", "lo"))  # settled rows need not meet
+    turn = F.rank().over(Window.partitionBy("gram", "context", apart).orderBy("d", "th", "lo"))
+    again = F.col("again") | (turn > 1)
+    firsts = found.select(F.when(~again, F.col("gram")).alias("gram"), "d", "th", "lo", (F.col("hi") - F.col("lo")).cast("int").alias("n"), again.alias("again"))
+    firsts = keep(firsts, "firsts")
     drop_kept(counted)
     settle(spark)
-    spans = firsts.where("again").select("d", "th", F.col("lo").alias("a"), (F.col("hi") + SPAN).alias("b"))
+    spans = firsts.where("again").select("d", "th", F.col("lo").alias("a"), (F.col("lo") + F.col("n") + SPAN).alias("b"))
 
-    left = with_group(firsts.where("not again"), ["gram"], ["d", "th", "lo"], {"n": (F.count("*"), "sum")}, "n > 1")
-    left = keep(left, "ends")
+    reps = firsts.where("not again").select("gram", "d", "th", "lo", (F.col("lo") + F.col("n")).alias("hi"))
+    left = keep(with_group(reps, ["gram"], ["d", "th", "lo"], {"n": (F.count("*"), "sum")}, "n > 1"), "ends")
+    settle(spark)
     total = left.count()
     if not total:
         return spans
