@@ -53,6 +53,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of docs as one struct, so that no name of theirs meets a helper column's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

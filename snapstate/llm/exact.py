@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, whole_text, with_group
+from .common import keep, packed, whole_text, with_group
 
 PAGE_BITS = 32_768  # of Spark's bitmap functions
 #: Bits of the filter for each row, and the largest filter. It is the only thing broadcast, so this bounds it.
@@ -76,10 +76,9 @@ def deduplicate(docs: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> DataFram
     Rows with a text that occurs once never move. The others are aggregated per text, on the map side first, so a hot
     text sends one row from each task.
     """
-    names = docs.columns
     hashes = docs.select(_sha().alias("sha"))
     found = bloom_filter(hashes, docs.count(), max_filter_mb)
-    rows = docs.select(F.struct(*names).alias("_row"), _sha().alias("sha"))
+    rows = docs.select(packed(docs).alias("_row"), _sha().alias("sha"))
     flagged = flag_members(rows, found)
     rank = F.struct(F.col("_row.doc_id"), F.xxhash64("_row"))
     best = flagged.where("_maybe").groupBy("sha").agg(F.max_by("_row", rank).alias("_row"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, bucket_bits, n_words, running
+from .common import SPACE, bucket_bits, n_words, packed, running
 
 WEIGHTS, MAX_EPOCHS = (5, 2, 1), 3
 #: Weight against time for the sources of each weight above: early, steady, late.
@@ -96,15 +96,17 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Repeats keep their doc_id. A source's one document on the boundary is cut after its last taken word.
     """
-    rows = plan(docs.withColumns({"_size": n_words(F.col("text")), "_tie": F.xxhash64("text")})).where("_taken > 0")
+    base = docs.select(packed(docs).alias("_row"), "doc_id", "source", n_words(F.col("text")).alias("_size"), F.xxhash64("text").alias("_tie"))
+    rows = plan(base).where("_taken > 0")
     copies = F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.col("_size")).cast("int"))
     rows = rows.withColumn("_copy", F.explode(copies))
     rows = rows.withColumn("_n", F.least(F.col("_size"), F.col("_taken") - F.col("_copy") * F.col("_size")))
     start = F.col("_copy") * F.col("_source_size") + F.col("_before")
     rows = rows.withColumn("_time", time_of(start / F.greatest(F.col("_target"), F.lit(1.0)), F.col("_kind")))
-    head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0)), 1, F.col("_n").cast("int")), "")
-    cut = F.when(F.col("_n") < F.col("_size"), head).otherwise(F.col("text"))
-    named = {"text": cut} | ({"n_chars": F.when(F.col("_n") < F.col("_size"), F.length(cut)).otherwise(F.col("n_chars")).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
-    rows = rows.withColumns(named)
+    head = F.array_join(F.slice(F.regexp_extract_all("_row.text", F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0)), 1, F.col("_n").cast("int")), "")
+    text = F.when(F.col("_n") < F.col("_size"), head).otherwise(F.col("_row.text"))
     ordered = rows.repartitionByRange(F.col("_time"), F.xxhash64("doc_id")).sortWithinPartitions("_time", "doc_id")
-    return ordered.select(*docs.columns)
+    out = {"text": text}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(F.col("_n") < F.col("_size"), F.length(head)).otherwise(F.col("_row.n_chars")).cast(dict(docs.dtypes)["n_chars"])
+    return ordered.select(*[out.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_kept, groups_of, keep, settle, whole_text, with_group
+from .common import drop_kept, groups_of, keep, packed, settle, whole_text, with_group
 from .components import components
 from .exact import bloom_filter, flag_members
 
@@ -284,10 +284,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with the columns of docs. Only rows of components with several rows are joined."""
-    names = docs.columns
     found = assigned(docs)
     shared = found.where("group_size > 1").withColumn("sha", F.xxhash64("doc_id", "text_hash"))
-    rows = docs.select(F.struct(*names).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(whole_text())).alias("sha"))
+    rows = docs.select(packed(docs).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(whole_text())).alias("sha"))
     flagged = flag_members(rows, bloom_filter(shared, shared.count(), at_least=1))
     gone = shared.groupBy("sha").agg(F.max("kept").alias("_kept"))
     tested = flagged.where("_maybe").join(gone, "sha", "left").where(F.coalesce("_kept", F.lit(True)))

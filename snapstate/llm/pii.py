@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 
 KINDS = ("email", "ip", "card", "phone")
 NONE, LABELS = len(KINDS), len(KINDS) + 1
@@ -308,5 +310,5 @@ def redact(docs: DataFrame, field: Field | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], b.schema.names)
 
     row = ", ".join(f"`{n}`: {t}" for n, t in docs.dtypes)
-    done = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text")).mapInArrow(run, f"_row struct<{row}>, _text string")
+    done = docs.select(packed(docs).alias("_row"), F.col("text").alias("_text")).mapInArrow(run, f"_row struct<{row}>, _text string")
     return done.select(F.col("_row").withField("text", F.col("_text")).alias("_row")).select("_row.*")

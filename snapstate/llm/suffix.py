@@ -35,7 +35,7 @@ from .exact import bloom_filter, flag_members
 
 SPAN, GRAM = 100, 32
 WINDOW = SPAN - GRAM + 1  # grams in a string
-PIECE, SHARD, HOT = 1 << 20, 8_000, 4_000  # bytes of a piece; contexts of a shard, and of a gram in one shard
+PIECE, SHARD, HOT = 1 << 20, 3_000, 3_000  # bytes of a piece; contexts of a shard, and of a gram in one shard
 CELL = 50_000  # strings that are merged at a time
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << k, 1 << 64)) for k in range(7)]
 _BYTE = np.random.default_rng(7).integers(0, 1 << 63, 257, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -48,15 +48,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def rolling(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the 32 and the 64 codes from each place (fewer at the end), by doubling."""
+def rolling(codes: np.ndarray, doublings: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the 32 and (with 6 doublings) the 64 codes from each place (fewer at the end)."""
     h, out = _BYTE[codes], []
-    for k in range(6):
+    for k in range(doublings):
         step = 1 << k
         if len(h) > step:
             h = np.concatenate([h[:-step] * _P[k] + h[step:], h[-step:]])
         out.append(h)
-    return out[4], out[5]
+    return out[4], out[-1]
 
 
 def anchors(data: np.ndarray, ends: np.ndarray, full: bool) -> tuple[np.ndarray, ...]:
@@ -65,7 +65,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, full: bool) -> tuple[np.ndarray,
     n = len(data)
     if n < SPAN:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
-    h32, h64 = rolling(data)
+    h32, h64 = rolling(data, 6 if full else 5)
     gram = mixed(h32)
     low = (gram & _U(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     have = 1
@@ -173,9 +173,10 @@ def suffix_order(codes: np.ndarray, context: np.ndarray, left: np.ndarray) -> np
     key = np.zeros(n, np.int64)
     for k in range(7):
         key = key * 512 + np.where(k < left, padded[k : k + n], 0)
-    ended = np.where(left < 7, context + 1, 0)
-    order = np.lexsort((ended, key))
-    new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (ended[order][1:] != ended[order][:-1])])
+    order = np.argsort(key)
+    in_order = key[order]
+    new = np.concatenate([[True], in_order[1:] != in_order[:-1]])
+    del key, in_order
     places = np.arange(n)
     rank = np.full(n + 1, -1)
     rank[order] = np.maximum.accumulate(np.where(new, places, 0))
@@ -183,11 +184,11 @@ def suffix_order(codes: np.ndarray, context: np.ndarray, left: np.ndarray) -> np
     h = 7
     while len(tied):
         at = order[tied]
-        one, two = rank[at], rank[np.minimum(at + h, n)]
-        turn = np.lexsort((two, one))
-        at, one, two = at[turn], one[turn], two[turn]
+        key = rank[at] * (n + 1) + np.where(left[at] < h, context[at], rank[np.minimum(at + h, n)]) + 1  # tied suffixes that ended did so at one distance
+        turn = np.argsort(key)
+        at, key = at[turn], key[turn]
         order[tied] = at
-        new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+        new = np.concatenate([[True], key[1:] != key[:-1]])
         rank[at] = np.maximum.accumulate(np.where(new, tied, 0))
         tied = tied[~(new & np.concatenate([new[1:], [True]]))]
         h *= 2
@@ -249,11 +250,14 @@ def runs(d: np.ndarray, th: np.ndarray, start: np.ndarray) -> tuple[np.ndarray,
 
 def earliest(group: np.ndarray, d: np.ndarray, th: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Whether each string of a class (numbered from 0) is the class's first by d, th, start."""
-    turn = np.lexsort((start, th, d, group))
+    out = np.ones(len(group), bool)
+    some = np.flatnonzero(np.bincount(group)[group] > 1) if len(group) else group
+    if not len(some):
+        return out
+    turn = some[np.lexsort((start[some], th[some], d[some], group[some]))]
     g, dd, tt, ss = group[turn], d[turn], th[turn], start[turn]
-    new = np.concatenate([[True], g[1:] != g[:-1]]) if len(g) else np.zeros(0, bool)
+    new = np.concatenate([[True], g[1:] != g[:-1]])
     head = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
-    out = np.zeros(len(g), bool)
     out[turn] = (dd == dd[head]) & (tt == tt[head]) & (ss == ss[head])
     return out
 
@@ -305,7 +309,7 @@ def _merged(strings: DataFrame, cells: int) -> DataFrame:
     return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(run, "d long, th long, a long, b long")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     """Spans (d, th, a, b) to remove, not yet merged, of docs with d, th and text as bytes."""
     spark = docs.sparkSession
     counted = keep(_grams(docs).groupBy("gram").count().where("count > 1").select(F.col("gram").alias("sha")), "grams")
@@ -331,10 +335,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     total = left.count()
     if not total:
         return spans
-    shards = -(-total // SHARD)
-    sub = F.pmod(F.xxhash64("d", "th", "lo"), F.ceil(F.col("n") / HOT))
-    cell = F.when(F.col("n") > HOT, F.xxhash64("gram", sub)).otherwise(F.pmod(F.xxhash64("gram"), F.lit(shards)))
-    listed = left.select("d", "th", F.struct(cell.alias("cell"), (F.col("n") > HOT).alias("hot"), "lo", "hi").alias("c")).groupBy("d", "th").agg(F.collect_list("c").alias("cs"))
+    shards = -(-total // shard)
+    sub = F.pmod(F.xxhash64("d", "th", "lo"), F.ceil(F.col("n") / hot))
+    cell = F.when(F.col("n") > hot, F.xxhash64("gram", sub)).otherwise(F.pmod(F.xxhash64("gram"), F.lit(shards)))
+    listed = left.select("d", "th", F.struct(cell.alias("cell"), (F.col("n") > hot).alias("hot"), "lo", "hi").alias("c")).groupBy("d", "th").agg(F.collect_list("c").alias("cs"))
     cut = listed.join(docs, ["d", "th"]).select("d", "th", F.explode("cs").alias("c"), "text")
     rows = cut.select("c.cell", "c.hot", "d", "th", "c.lo", F.substring("text", (F.col("c.lo") + 1).cast("int"), (F.col("c.hi") - F.col("c.lo") + SPAN).cast("int")).alias("bytes"))
     out = keep(_sharded(rows.repartition("cell").sortWithinPartitions("cell")), "shards")
@@ -351,10 +355,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64(whole_text()).alias("th"), F.encode(whole_text(), "utf-8").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
 
 
-def _cut(docs: DataFrame, body, schema: str) -> DataFrame:
+def _cut(docs: DataFrame, body, schema: str, **sizes: int) -> DataFrame:
     """body(doc_id, text, merged spans) over every row."""
     keyed = _keyed(docs)
-    spans = keep(repeated_spans(keyed.select("d", "th", "text")), "spans")
+    spans = keep(repeated_spans(keyed.select("d", "th", "text"), **sizes), "spans")
     listed = spans.groupBy("d", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     settle(docs.sparkSession)
     return keyed.join(listed, ["d", "th"], "left").select("doc_id", "text", "spans").mapInArrow(body, schema)
@@ -381,7 +385,7 @@ def _rest(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes
             yield doc, text, gone, b"".join([*parts, text[done:]])
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, **sizes: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
@@ -391,7 +395,7 @@ def report(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.string()], strict=True)], names)
 
-    return _cut(docs, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _cut(docs, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", **sizes)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

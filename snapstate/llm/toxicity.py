@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, whole_text
+from .common import keep, packed, whole_text
 
 SAMPLE, LEXICON = 20_000, 400
 TREES, DEPTH, RATE, BINS, RIDGE = 120, 4, 0.1, 64, 2.0
@@ -208,7 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with score and predicted added."""
+    """docs with score and predicted added, in place of columns of these names."""
+    docs = docs.drop("score", "predicted")
     at = docs.columns.index("text")
     names = ["score", "predicted"]
 
@@ -229,6 +230,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, with their columns."""
-    names = docs.columns
-    packed = docs.select(F.struct(*names).alias("_row"), F.col("text"))
-    return score(packed, fit(docs, labels)).where("predicted = 0").select("_row.*")
+    rows = docs.select(packed(docs).alias("_row"), "text")
+    return score(rows, fit(docs, labels)).where("predicted = 0").select("_row.*")
