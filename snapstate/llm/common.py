@@ -27,8 +27,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return known.get()
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and rereads it: the lineage ends here and lost executors lose nothing."""
+def keep(df: DataFrame, name: str, rows: int | None = None, rows_each: int = 50_000) -> DataFrame:
+    """Writes df to the shared folder and rereads it: the lineage ends here and lost executors lose nothing.
+
+    With `rows`, a bound of how many there are, no more files are written than have rows_each rows.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // rows_each)))
     path = f"{scratch_dir(df.sparkSession)}/snapstate-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,8 +18,8 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, comp for every end a, b of links; comp is the smallest node reachable."""
-    edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
+    """node, comp for every end a, b of links (a stored table); comp is the smallest node reachable."""
+    edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges", links.count(), 200_000)
     state = _state(edges)
     while state[0]:
         low = {"m": (F.min("v"), "min")}
@@ -27,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u > v").distinct()
         both = small.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         large = with_group(both, ["u"], ["v"], low).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u > v").distinct()
-        after = keep(large, "edges")
+        after = keep(large, "edges", state[0], 200_000)
         drop_kept(edges)
         edges, before, state = after, state, _state(after)
         if state == before:

@@ -249,21 +249,24 @@ def assigned(docs: DataFrame) -> DataFrame:
     """A row per row of docs: tag, doc_id, text_hash, n_shingles, component_id, group_size, kept."""
     sketches = keep(sketch_table(docs), "sketches")
     empty = sketches.where("n_shingles = 0").select("tag", "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    grouped = keep(with_group(sketches.where("n_shingles > 0"), ["digest"], ["tag"], {"node": (F.min("tag"), "min")}), "nodes")
+    rows_in = sketches.count()
+    grouped = keep(with_group(sketches.where("n_shingles > 0"), ["digest"], ["tag"], {"node": (F.min("tag"), "min")}), "nodes", rows_in)
     nodes = grouped.where("tag = node")
 
     buckets = nodes.select(F.posexplode("keys").alias("band", "key"), "node")
-    members = keep(with_group(buckets, ["key"], ["node"], {"n": (F.count("*"), "sum"), "first": (F.min("node"), "min")}, "n > 1").select("key", "band", "node", "first"), "members")
+    members = keep(with_group(buckets, ["key"], ["node"], {"n": (F.count("*"), "sum"), "first": (F.min("node"), "min")}, "n > 1").select("key", "band", "node", "first"), "members", BANDS * rows_in, 400_000)
     pairs = members.where("node > first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
-    asked = keep(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node").withColumn("sha", F.xxhash64("doc_id", "text_hash")), "asked")
+    asked = keep(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node").withColumn("sha", F.xxhash64("doc_id", "text_hash")), "asked", rows_in)
     rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(whole_text())).alias("sha"), F.encode(whole_text(), "utf-8").alias("text"))
-    rows = flag_members(rows, bloom_filter(asked, asked.count(), at_least=1)).where("_maybe")
-    texts = keep(rows.join(asked.select("sha", "node"), "sha").groupBy("sha").agg(F.first("node").alias("node"), F.first("text").alias("text")).drop("sha"), "texts")
+    n_asked = asked.count()
+    rows = flag_members(rows, bloom_filter(asked, n_asked, at_least=1)).where("_maybe")
+    texts = keep(rows.join(asked.select("sha", "node"), "sha").groupBy("sha").agg(F.first("node").alias("node"), F.first("text").alias("text")).drop("sha"), "texts", n_asked, 5_000)
     settle(docs.sparkSession)
 
     links = keep(_confirmed(_screened(pairs, nodes), texts), "links")
-    links = keep(links.unionByName(_joining(members, nodes, components(links), texts)), "links")
+    joining = keep(_joining(members, nodes, components(links), texts), "joining")
+    links = links.unionByName(joining)
     labels = components(links)
     settle(docs.sparkSession)
 
@@ -271,7 +274,7 @@ def assigned(docs: DataFrame) -> DataFrame:
     best = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
     whole = with_group(whole, ["comp"], ["tag"], {"best": (F.min(best), "min"), "group_size": (F.count("*"), "sum")})
     whole = whole.select("tag", "doc_id", "text_hash", "n_shingles", F.col("best.doc_id").alias("component_id"), "group_size", (F.col("best.tag") == F.col("tag")).alias("kept"))
-    out = keep(whole.unionByName(empty), "near")
+    out = keep(whole.unionByName(empty), "near", rows_in)
     for table in (sketches, grouped, members, asked, texts):
         drop_kept(table)
     return out
