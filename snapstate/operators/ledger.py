@@ -12,6 +12,7 @@ import logging
 import platform
 import socket
 import time
+import traceback
 import uuid
 from collections.abc import Iterable, Mapping
 from datetime import UTC, datetime
@@ -195,6 +196,12 @@ class Quarantine:
         return self.table.read()
 
 
+def error_record(stage: str, error: BaseException, pipeline: str | None = None, run_id: str | None = None) -> dict[str, object]:
+    """Logs an exception with its trace and returns what a ledger keeps of it."""
+    log.error("%s failed in %s (run %s)", pipeline or "-", stage, run_id or "-", exc_info=error)
+    return {"stage": stage, "pipeline_name": pipeline, "run_id": run_id, "error_type": type(error).__name__, "error_message": str(error), "stack_trace": "".join(traceback.format_exception(error)), "logged_at": now().isoformat()}
+
+
 class Metrics(dict):
     """Named counters, and free values beside them."""
 

@@ -22,7 +22,7 @@ from ..functions.layout import range_layout
 from ..functions.predicates import required_missing
 from ..operators import changes, kpi
 from ..operators.ingest import conform, name_drift, stamped
-from ..operators.ledger import Audit, Control, Quarantine, SchemaHistory, Timer, gate_on, now, one_row
+from ..operators.ledger import Audit, Control, Quarantine, SchemaHistory, Timer, error_record, gate_on, now, one_row
 from ..operators.quality import quarantined, verdicts
 from ..operators.reconcile import conserve, row_of
 from ..operators.validate import Report, validate
@@ -64,6 +64,7 @@ class Pipeline:
         except Exception as error:
             self.audit.write(stage=stage, status="FAILED", started_at=timer.started_at, seconds=timer.seconds, error=error, source_file=source, snapshot_day=day)
             self.control.fail(stage, source, error)
+            error_record(stage, error, self.settings.pipeline, self.control.run_id)
             raise
         known = {k: counts.get(k, 0) for k in ("rows_read", "rows_written", "rows_rejected", "rows_skipped")}
         self.audit.write(stage=stage, status=SUCCESS, started_at=timer.started_at, seconds=timer.seconds, metadata=counts, source_file=source, snapshot_day=day, files_processed=1, **known)
