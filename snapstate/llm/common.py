@@ -27,6 +27,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return known.get()
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark).rstrip('/')}/snapstate-{spark.sparkContext.applicationId}"
+
+
+def purge(spark: SparkSession) -> None:
+    """Deletes every table that this application's keep() wrote, when its results have been stored or read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep(df: DataFrame, name: str, rows: int | None = None, rows_each: int = 50_000) -> DataFrame:
     """Writes df to the shared folder and rereads it: the lineage ends here and lost executors lose nothing.
 
@@ -34,7 +44,7 @@ def keep(df: DataFrame, name: str, rows: int | None = None, rows_each: int = 50_
     """
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // rows_each)))
-    path = f"{scratch_dir(df.sparkSession)}/snapstate-{name}-{uuid.uuid4().hex}"
+    path = f"{_own_scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -38,8 +38,8 @@ from .exact import bloom_filter, flag_members
 
 WORDS, BANDS, ROWS, SAMPLES, SKETCH_BITS = 5, 32, 4, 256, 1024
 THRESHOLD, SCREEN = 75, 0.62  # THRESHOLD in hundredths
-#: Nodes and shingles of a bucket's block, and the parts that a hub's pairs are dealt into.
-BLOCK, BLOCK_SHINGLES, PARTS = 1024, 400_000, 256
+#: Nodes and shingles of a bucket's block, and the partners of a node that are dealt to one task.
+BLOCK, BLOCK_SHINGLES, PART = 1024, 400_000, 64
 
 _RANDOM = np.random.default_rng(20_240)
 FACTORS = _RANDOM.integers(0, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -129,18 +129,25 @@ def sketch_table(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "tag long, doc_id long, text_hash long, n_shingles long, digest binary, keys array<long>, odd array<long>")
 
 
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """Pairs a, b with `part`: about PART partners of each a have one, so that a hub's pairs spread over tasks."""
+    rows = with_group(pairs, ["a"], ["b"], {"n": (F.count("*"), "sum")})
+    return rows.withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PART))).drop("n")
+
+
 def _screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs a, b whose sizes and sketches allow the threshold."""
+    """Pairs a, b, part whose sizes and sketches allow the threshold."""
     one = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("odd").alias("oa"))
     two = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("odd").alias("ob"))
     flips = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    rows = pairs.join(two, "b").join(one, "a")
-    return rows.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * THRESHOLD) & (flips <= most_flips(SCREEN))).select("a", "b")
+    first = pairs.select("a", "part").distinct().join(one, "a")
+    rows = pairs.join(two, "b").join(first, ["a", "part"])
+    return rows.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * THRESHOLD) & (flips <= most_flips(SCREEN))).select("a", "b", "part")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs a, b that are links by their full sets. Each `a` meets its partners in PARTS parts, one text at a time."""
-    dealt = pairs.withColumn("gid", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(PARTS))))
+    """The pairs a, b that are links by their full sets. Each `a` meets the partners of one part, a text at a time."""
+    dealt = pairs.withColumn("gid", F.xxhash64("a", "part"))
     first = dealt.select("gid", F.col("a").alias("node"), F.lit(0).alias("role")).distinct()
     rows = first.unionByName(dealt.select("gid", F.col("b").alias("node"), F.lit(1).alias("role")).distinct())
     rows = rows.join(texts, "node").repartition("gid").sortWithinPartitions("gid", "role", "node").select("gid", "role", "node", "text")
@@ -264,7 +271,7 @@ def assigned(docs: DataFrame) -> DataFrame:
     texts = keep(rows.join(asked.select("sha", "node"), "sha").groupBy("sha").agg(F.first("node").alias("node"), F.first("text").alias("text")).drop("sha"), "texts", n_asked, 5_000)
     settle(docs.sparkSession)
 
-    links = keep(_confirmed(_screened(pairs, nodes), texts), "links")
+    links = keep(_confirmed(_screened(_dealt(pairs), nodes), texts), "links")
     joining = keep(_joining(members, nodes, components(links), texts), "joining")
     links = links.unionByName(joining)
     labels = components(links)
