@@ -1,6 +1,6 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A lexicon is learned from the training rows (words far likelier in toxic documents), then features are taken per
+A lexicon is learned from the training rows (words and beginnings of words far likelier in toxic documents), then features are taken per
 document: lexicon densities, hits near the second person, capitals, punctuation and obfuscation rates. Trees are
 fitted on the driver on a bounded sample of at most about SAMPLE labelled rows, of which every fifth calibrates;
 scoring reads every row and whole text where it lies and shuffles nothing.
@@ -32,6 +32,7 @@ TREES, DEPTH, RATE, BINS, RIDGE = 120, 4, 0.1, 64, 2.0
 YOU = {"you", "your", "yours", "yourself", "ye", "du", "dich", "dir", "dein", "deine", "ihr", "euch", "tu", "te", "toi", "ton", "ta", "tes", "vous", "votre", "tú", "ti", "usted", "ustedes", "vos", "su"}
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 NEAR = 6
+STEMS = (5, 6, 7)  # letters of the beginnings of words, in the lexicon with a *
 FEATURES = ("hits", "hit_density", "strength_density", "max_strength", "distinct_hits", "disguised_hits", "near_you", "you_density", "capital_rate", "shout_rate", "exclaim_rate", "punctuation_rate", "obfuscation_rate", "log_words", "mean_word", "line_hits")
 
 
@@ -42,18 +43,24 @@ def fold(doc_id: Column) -> Column:
 class Featurizer:
     """Features of texts under a lexicon word -> strength. Facts about a token are kept for its next occurrence."""
 
-    def __init__(self, lexicon: dict[str, float], room: int = 200_000):
+    def __init__(self, lexicon: dict[str, float], room: int = 100_000):
         self.lexicon, self.room, self.facts = lexicon, room, {}
 
+    def strength(self, word: str) -> float:
+        known = self.lexicon.get(word)
+        if known is None:
+            known = max((self.lexicon.get(word[:n] + "*", 0.0) for n in STEMS if len(word) > n), default=0.0)
+        return known
+
     def look(self, token: str) -> tuple[float, bool, bool, bool]:
         """Strength, whether it is disguised, whether it is shouted, whether it is obfuscated."""
         core = token.strip(string.punctuation)
         low = core.lower()
-        strength = self.lexicon.get(low, 0.0)
+        strength = self.strength(low)
         odd = bool(core) and not core.isalpha() and any(c.isalpha() for c in core) and not core.replace("-", "").replace("'", "").isalpha()
         disguised = False
         if odd and not strength:
-            strength = self.lexicon.get("".join(c for c in low.translate(LEET) if c.isalpha()), 0.0)
+            strength = self.strength("".join(c for c in low.translate(LEET) if c.isalpha()))
             disguised = strength > 0
         out = (strength, disguised, len(core) > 2 and core.isupper(), odd)
         if len(self.facts) >= self.room:
@@ -179,7 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     picked = marked.where(spot < int((1 << 30) * min(1.0, sample / max(1, total))))
     rows = keep(docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(picked), "doc_id"), "toxicity")
-    words = rows.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))).alias("word"))
+    plain = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    stems = [F.transform(F.filter(plain, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in STEMS]
+    words = rows.select("toxic", F.explode(F.array_distinct(F.concat(plain, *stems))).alias("word"))
     counts = rows.agg(F.sum(F.col("toxic").cast("long")).alias("bad"), F.count("*").alias("n")).first()
     if not counts["bad"] or counts["bad"] == counts["n"]:
         return Model()
