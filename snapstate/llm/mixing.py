@@ -75,7 +75,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     base = docs.withColumns({"_order": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "_g": F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-"))})
     per = targets(docs.select("source", F.col("_size").alias("size")), weights, max_epochs)
     per = per.select(F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("_g"), F.col("source_size").alias("_source_size"), F.col("kind").alias("_kind"), F.col("target").alias("_target"))
-    cut = running(base, "_g", "_order", ["doc_id", "_size", "_tie"], "_size", "_before", bucket_bits(docs.count() // 3))
+    cut = running(base, "_g", "_order", ["doc_id", "_size", "_tie"], "_size", "_before", bucket_bits(docs.count() // 3, 2_000))
     rows = cut.join(per, "_g")
     words = F.round("_target").cast("long")
     size = F.greatest(F.col("_source_size"), F.lit(1))
