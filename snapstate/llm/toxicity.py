@@ -33,6 +33,7 @@ YOU = {"you", "your", "yours", "yourself", "ye", "du", "dich", "dir", "dein", "d
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 NEAR = 6
 STEMS = (5, 6, 7)  # letters of the beginnings of words, in the lexicon with a *
+PLAIN = (0.0, False, False, False, False)  # of a token that tells nothing
 FEATURES = ("hits", "hit_density", "strength_density", "max_strength", "distinct_hits", "disguised_hits", "near_you", "you_density", "capital_rate", "shout_rate", "exclaim_rate", "punctuation_rate", "obfuscation_rate", "log_words", "mean_word", "line_hits")
 
 
@@ -45,24 +46,28 @@ class Featurizer:
 
     def __init__(self, lexicon: dict[str, float], room: int = 100_000):
         self.lexicon, self.room, self.facts = lexicon, room, {}
+        self.heads = {w.rstrip("*")[: STEMS[0]] for w in lexicon}
 
     def strength(self, word: str) -> float:
+        if word[: STEMS[0]] not in self.heads:
+            return 0.0
         known = self.lexicon.get(word)
         if known is None:
             known = max((self.lexicon.get(word[:n] + "*", 0.0) for n in STEMS if len(word) > n), default=0.0)
         return known
 
-    def look(self, token: str) -> tuple[float, bool, bool, bool]:
-        """Strength, whether it is disguised, whether it is shouted, whether it is obfuscated."""
-        core = token.strip(string.punctuation)
+    def look(self, token: str) -> tuple[float, bool, bool, bool, bool]:
+        """Strength, and whether the token is disguised, shouted, obfuscated, a second person."""
+        core = token if token.isalpha() else token.strip(string.punctuation)
         low = core.lower()
         strength = self.strength(low)
-        odd = bool(core) and not core.isalpha() and any(c.isalpha() for c in core) and not core.replace("-", "").replace("'", "").isalpha()
+        odd = not core.isalpha() and any(c.isalpha() for c in core) and not core.replace("-", "").replace("'", "").isalpha()
         disguised = False
         if odd and not strength:
             strength = self.strength("".join(c for c in low.translate(LEET) if c.isalpha()))
             disguised = strength > 0
-        out = (strength, disguised, len(core) > 2 and core.isupper(), odd)
+        out = (strength, disguised, len(core) > 2 and core.isupper(), odd, low in YOU)
+        out = out if any(out) else PLAIN
         if len(self.facts) >= self.room:
             self.facts.clear()
         self.facts[token] = out
@@ -76,7 +81,10 @@ class Featurizer:
         hits, strengths, you, distinct, disguised, shout, odd = [], 0.0, [], set(), 0, 0, 0
         most = 0.0
         for at, token in enumerate(tokens):
-            strength, hidden, loud, strange = facts.get(token) or self.look(token)
+            fact = facts.get(token) or self.look(token)
+            if fact is PLAIN:
+                continue
+            strength, hidden, loud, strange, second = fact
             if strength:
                 hits.append(at)
                 distinct.add(token)
@@ -85,7 +93,7 @@ class Featurizer:
                 disguised += hidden
             shout += loud
             odd += strange
-            if len(token) < 10 and token.strip(string.punctuation).lower() in YOU:
+            if second:
                 you.append(at)
         near = 0
         if hits and you:
