@@ -26,6 +26,14 @@ def out_of_rules(rules: RuleSet) -> Column:
     return F.coalesce(any_of([required_missing(rules), *ranged]), F.lit(True))
 
 
+def within_rules(rules: RuleSet) -> list[Column]:
+    """The same rules as conditions that all must hold, in a form that reaches the scan as pushed filters."""
+    out = [F.col(c).isNotNull() for c in rules.required]
+    for c, (lo, hi) in rules.ranges.items():
+        out += [F.col(c).isNotNull(), F.col(c) >= lo, F.col(c) <= hi, ~F.isnan(c)]
+    return out
+
+
 def differs(columns: Iterable[str], left: str, right: str) -> Column:
     """Whether a tracked column differs; null equals null, and NaN equals NaN."""
     return any_of(~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns)

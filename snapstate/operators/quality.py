@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import out_of_rules
+from ..functions.predicates import out_of_rules, within_rules
 from ..schemas import DQ_DUPLICATE, DQ_INVALID, DQ_MESSAGES, RuleSet
 
 
@@ -38,9 +38,14 @@ class Gated:
 
 
 def gate(df: DataFrame, rules: RuleSet, order: Sequence[Column] | None = None) -> Gated:
-    """Clean rows, one per key; rows that break a rule; superseded duplicates. Each input row is in exactly one."""
-    v = verdicts(df, rules, order)
-    return Gated(v.where("_dq is null").drop("_dq"), v.where(F.col("_dq") == DQ_INVALID).drop("_dq"), v.where(F.col("_dq") == DQ_DUPLICATE).drop("_dq"))
+    """Clean rows, one per key; rows that break a rule; superseded duplicates. Each input row is in exactly one.
+
+    Invalid rows are split off before the shuffle, and the clean frame drops most duplicates there as well.
+    """
+    valid, turn = df, newest_first(df, rules, order)
+    for condition in within_rules(rules):
+        valid = valid.where(condition)
+    return Gated(winners(valid, rules.key, turn), df.where(out_of_rules(rules)), losers(valid, rules.key, turn))
 
 
 def winners(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
