@@ -213,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             x = look.matrix(t.as_py() for t in b.column(2))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
 
-    found = rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(features, "doc_id long, toxic int, x array<double>").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5))).orderBy("doc_id").toPandas()
+    found = rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(features, "doc_id long, toxic int, x array<double>").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5))).orderBy("doc_id", "x").toPandas()
     x, y, held = np.stack(found["x"]), found["toxic"].to_numpy(float), found["part"].to_numpy() == 0
     if y[held].sum() < 5 or y[~held].sum() < 5 or len(x) < 500:
         held = np.zeros(len(y), bool)  # too few to set some aside

@@ -36,7 +36,7 @@ def tokenizer():
 
 
 def test_ids_equal_those_of_the_tokenizers_library(spark, sf_dir, tokenizer):
-    texts = [r["text"] for r in documents(spark, sf_dir).select("text").collect()] + ["", " ", "<|endoftext|> x", "a b\n\n\n  c", "🎉" * 20, "1234567890" * 30]
+    texts = [r["text"] for r in documents(spark, sf_dir).select("text").collect()] + ["", " ", "<|endoftext|> x", "a b\n\n\n  c", "🎉" * 2000, "1234567890" * 30, "a" * 20_000, " " * 20_000, "\n" * 9000 + "x", "漢字" * 3000, "a\x00b\ufffd " * 500]
     for text, want in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
         assert packing.token_ids(text, "byte_bpe_50k.json").tolist() == [*want.ids, 0]
 
