@@ -77,6 +77,11 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def fold(doc_id: Column) -> Column:
+    """crc32 of the doc_id as text, modulo 5: the rows with 0 are held out of learning."""
+    return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "utf-8")) % 5
+
+
 def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
 

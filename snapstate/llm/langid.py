@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fold
+
 DIMS, CENTROIDS, SAMPLE, MAX_LANGS = 2048, 3, 6000, 500
 #: A text is rejected beyond this quantile of its centroid's training distances, times the slack.
 QUANTILE, SLACK = 0.995, 1.15
@@ -116,10 +118,6 @@ def train(found: np.ndarray, lang: list[str], centroids: int = CENTROIDS) -> Mod
     return model
 
 
-def fold(doc_id):
-    return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "utf-8")) % 5
-
-
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0)).select("doc_id", "text", "lang")
     per = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()

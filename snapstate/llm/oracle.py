@@ -11,6 +11,30 @@ FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 """
 
 
+def _jump(shards: int) -> str:
+    """The shard b of each distinct doc_id. The shard number grows with every step, so `shards` + 1 steps reach the end."""
+    sql = "(SELECT doc_id, CASE WHEN k < 0 THEN k::HUGEINT + 18446744073709551616 ELSE k::HUGEINT END AS s, 0::BIGINT AS b, false AS stop FROM (SELECT DISTINCT doc_id, coalesce(doc_id, 0) AS k FROM documents))"
+    for _ in range(shards + 1):
+        sql = f"(SELECT doc_id, (s * 2862933555777941757 + 1) % 18446744073709551616 AS s, b, stop FROM {sql})"
+        sql = f"(SELECT doc_id, s, b, stop, floor((b + 1) * (2147483648.0::DOUBLE / ((s // 8589934592)::DOUBLE + 1.0::DOUBLE))) AS j FROM {sql})"
+        sql = f"(SELECT doc_id, s, CASE WHEN stop OR j >= {shards} THEN b ELSE j::BIGINT END AS b, stop OR j >= {shards} AS stop FROM {sql})"
+    return f"SELECT doc_id, b::INTEGER AS b FROM {sql}"
+
+
+SHARDS = f"""
+WITH RECURSIVE steps(i, c, k) AS (SELECT range::BIGINT, range::BIGINT, 0 FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS l FROM steps WHERE k = 8),
+d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+e AS (SELECT doc_id, octet_length(t) + 1 AS size, list_transform(regexp_extract_all(hex(t), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM d),
+f AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda s, x: xor(s >> 8, l[(xor(s, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32 FROM e, crc),
+eight AS ({_jump(8)}), nine AS ({_jump(9)})
+SELECT f.doc_id, size, text_crc32, 'key' AS law, eight.b AS shard, nine.b AS grown_shard,
+       row_number() OVER (PARTITION BY eight.b ORDER BY md5(coalesce(f.doc_id::VARCHAR, '')), f.doc_id, size, text_crc32) - 1 AS slot
+FROM f JOIN eight ON f.doc_id IS NOT DISTINCT FROM eight.doc_id JOIN nine ON f.doc_id IS NOT DISTINCT FROM nine.doc_id
+"""
+
+
 def _time(share: str, kind: str) -> str:
     cases = ""
     for i, knots in enumerate(SCHEDULES):
@@ -41,4 +65,4 @@ SELECT doc_id, size, z AS source_size, target, taken::BIGINT AS taken, CASE WHEN
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_bloom_exact_dedup": EXACT, "op8_curriculum_mixing": MIXING}
+    return {"op4_bloom_exact_dedup": EXACT, "op6_jump_hash_shards": SHARDS, "op8_curriculum_mixing": MIXING}

@@ -21,10 +21,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, packed, whole_text
+from .common import fold, keep, packed, whole_text
 
 SAMPLE, LEXICON = 20_000, 400
 TREES, DEPTH, RATE, BINS, RIDGE = 120, 4, 0.1, 64, 2.0
@@ -37,10 +37,6 @@ PLAIN = (0.0, False, False, False, False)  # of a token that tells nothing
 FEATURES = ("hits", "hit_density", "strength_density", "max_strength", "distinct_hits", "disguised_hits", "near_you", "you_density", "capital_rate", "shout_rate", "exclaim_rate", "punctuation_rate", "obfuscation_rate", "log_words", "mean_word", "line_hits")
 
 
-def fold(doc_id: Column) -> Column:
-    return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "utf-8")) % 5
-
-
 class Featurizer:
     """Features of texts under a lexicon word -> strength. Facts about a token are kept for its next occurrence."""
 
