@@ -14,7 +14,7 @@ those whose ends are not joined yet. A pair is tried in the first bucket it shar
 join something, fewer than its nodes, however many pairs it looks at; so no pair is lost to a cap and none is written
 in vain.
 
-With 32 bands of 4, a pair at exactly 0.75 shares no band with probability 5e-6, and fails the screen with 1e-5.
+With 32 bands of 4, a pair at exactly 0.75 shares no band with probability 5e-6, and fails the screen with 3e-6.
 
 Defined cases: null texts and texts without words have empty sets, no links, and are kept; repeated rows (of one text
 or one doc_id) are rows of their own, and one row of each component is kept: that with the smallest doc_id (nulls
@@ -37,7 +37,7 @@ from .components import components
 from .exact import bloom_filter, flag_members
 
 WORDS, BANDS, ROWS, SAMPLES, SKETCH_BITS = 5, 32, 4, 256, 1024
-THRESHOLD, SCREEN = 75, 0.62  # THRESHOLD in hundredths
+THRESHOLD, SCREEN = 75, 0.6  # THRESHOLD in hundredths
 #: Nodes and shingles of a bucket's block, and the partners of a node that are dealt to one task.
 BLOCK, BLOCK_SHINGLES, PART = 1024, 400_000, 64
 
