@@ -310,7 +310,7 @@ def _merged(strings: DataFrame, cells: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
-    """Spans (d, th, a, b) to remove, not yet merged, of docs with d, th and text as bytes."""
+    """A stored table of spans (d, th, a, b) to remove, not yet merged, of docs with d, th and text as bytes."""
     spark = docs.sparkSession
     counted = keep(_grams(docs).groupBy("gram").count().where("count > 1").select(F.col("gram").alias("sha")), "grams")
     settle(spark)
@@ -334,7 +334,7 @@ def repeated_spans(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataF
     settle(spark)
     total = left.count()
     if not total:
-        return spans
+        return keep(spans, "spans")
     shards = -(-total // shard)
     sub = F.pmod(F.xxhash64("d", "th", "lo"), F.ceil(F.col("n") / hot))
     cell = F.when(F.col("n") > hot, F.xxhash64("gram", sub)).otherwise(F.pmod(F.xxhash64("gram"), F.lit(shards)))
@@ -348,7 +348,10 @@ def repeated_spans(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataF
     n_strings = strings.count()
     if n_strings:
         more = more.unionByName(_merged(strings, -(-n_strings // CELL)))
-    return spans.unionByName(more)
+    spans = keep(spans.unionByName(more), "spans")
+    for table in (firsts, left, out):
+        drop_kept(table)
+    return spans
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -358,7 +361,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _cut(docs: DataFrame, body, schema: str, **sizes: int) -> DataFrame:
     """body(doc_id, text, merged spans) over every row."""
     keyed = _keyed(docs)
-    spans = keep(repeated_spans(keyed.select("d", "th", "text"), **sizes), "spans")
+    spans = repeated_spans(keyed.select("d", "th", "text"), **sizes)
     listed = spans.groupBy("d", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     settle(docs.sparkSession)
     return keyed.join(listed, ["d", "th"], "left").select("doc_id", "text", "spans").mapInArrow(body, schema)
