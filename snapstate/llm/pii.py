@@ -1,22 +1,29 @@
 """Personal data: rules for four kinds, and a skip-chain conditional random field that adds what the rules miss.
 
 Rules find emails, addresses, card numbers and phone numbers, each in time linear in the text. The field's nodes are
-the tokens with a digit or an at sign; its labels are the four kinds and none. A node is tied to the next one (chain)
-and to the next that repeats or resembles it (skip: same last digits, mailbox or network), however far away, so that a
-document labels its entities alike. Tokens inside a rule's span are fixed to its kind; loopy belief propagation gives
-the others' marginals, and those surely of a kind become spans as well. Rule spans always stay.
-
-Weights are learned by pseudo-likelihood, with the rules' spans as labels, on a bounded sample of documents; features
-see a token's shape but not the rules' checks, so that a number like a card in all but its check digit can be one.
+the rules' spans and the other tokens with a digit or an at sign (numbers written with spaces are one node); its labels
+are the four kinds and none. A node is tied to the next one (chain) and, by skip edges, to those that repeat or
+resemble it: same last digits, mailbox, address or network. All that share such a key are tied to one of them, the
+first that a rule found or else the first, so that any number of repeats at any distance is two steps from each other.
+Rule nodes are fixed; loopy belief propagation, run until messages settle, gives the others' marginals, and those
+surely of a kind become spans as well. Rule spans always stay.
+
+Weights are learned by pseudo-likelihood with Newton steps, on a bounded sample of documents, each read whole. What no
+rule found is not taken for none where it resembles an entity: such nodes have no label and count nowhere. Instead each
+document rehearses its own entities: every one is repeated in a form that no rule accepts, with its kind as the label,
+and beside it stands the same form with other signs, labelled none. Only the skip edge tells the two apart.
 
 Defined cases: null and empty texts have no spans; repeated rows get equal results; very long texts are taken whole,
-with messages in flat arrays; an empty table gives an empty result; other columns are ignored.
+with messages in flat arrays; an empty table gives an empty result, and a sample without entities the weights that
+learning starts from; other columns are ignored by report() and carried, whatever their names or types, by redact().
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,14 +31,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import packed
 
 
 KINDS = ("email", "ip", "card", "phone")
 NONE, LABELS = len(KINDS), len(KINDS) + 1
-#: Documents and tokens learned from at most (about), belief propagation rounds, and the marginal that makes a span.
-SAMPLE, SAMPLE_TOKENS, ROUNDS, SURE = 4000, 40, 12, 0.8
+#: Documents learned from at most (about), the marginal that makes a span, and when messages have settled. ROUNDS only
+#: ends the search of a field whose messages swing for ever; damping grows long before.
+SAMPLE, SURE, SETTLED, ROUNDS = 4000, 0.8, 1e-4, 2000
+EDGES = 50_000  # whose messages are computed at a time
 
 #: The parts of the four rules.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -91,66 +101,108 @@ class Nodes:
     start: np.ndarray
     end: np.ndarray
     shape: np.ndarray  # features
-    label: np.ndarray  # of the rules
+    label: np.ndarray  # of the rules, -1 where free
     chain: np.ndarray  # pairs of neighbours
     skip: np.ndarray  # pairs that resemble each other
 
 
+_DIGITS = re.compile("[0-9]+")
+_NUMBER = re.compile(r"[+(]?[0-9][0-9().+/-]*")
+_FOUR = re.compile(r"[^0-9]?([0-9]{1,3})([^0-9A-Za-z]{1,3})([0-9]{1,3})\2([0-9]{1,3})\2([0-9]{1,3})[^0-9]?")
+_AT = re.compile(r"[(\[{]at[)\]}]", re.I)
+_NAMED = re.compile(r"[A-Za-z_]{2,20}[:=](?=\S*[0-9@])")  # a field's name before its value
+SIZES = ((1, 3), (4, 6), (7, 8), (9, 11), (12, 14), (15, 16), (17, 19), (20, 1 << 60))
+
+
 def shape(core: str) -> list[float]:
-    n = sum("0" <= c <= "9" for c in core)
+    """Facts about a node's text; none tells whether a rule accepts it."""
+    n = sum(map(len, _DIGITS.findall(core)))
     letters = sum(c.isalpha() for c in core)
-    return [1.0, n in (1, 2, 3), 4 <= n <= 6, 7 <= n <= 8, 9 <= n <= 11, 12 <= n <= 14, 15 <= n <= 16, 17 <= n <= 19, n > 19, "@" in core, "@" in core and "." in core.partition("@")[2], core.count(".") == 3 and not letters, "+" in core, "-" in core, "(" in core or ")" in core, n == len(core), letters > 0, letters > n, "=" in core or ":" in core or "/" in core]
+    sizes = [low <= n <= high for low, high in SIZES]
+    return [1.0, *sizes, "@" in core or _AT.search(core) is not None, _FOUR.fullmatch(core) is not None, n == len(core), letters > 0, letters > n, any(c in core for c in "=:/_")]
 
 
 SHAPES = len(shape("0"))
 
 
 def likeness(core: str) -> tuple[str, ...]:
-    """Keys under which a token resembles others."""
-    if "@" in core:
-        return ("@" + core.partition("@")[0].lower(),)
-    digits = "".join(c for c in core if "0" <= c <= "9")
-    if core.count(".") == 3 and len(digits) == len(core) - 3:
-        return ("." + core, "/" + core.rpartition(".")[0])
-    return (f"#{digits[-7:]}", f"^{digits[:8]}") if len(digits) >= 12 else (f"#{digits[-7:]}",) if len(digits) >= 7 else ()
-
-
-def nodes_of(text: str, spans: list[Span]) -> Nodes | None:
-    starts, ends, shapes, labels, skips, last = [], [], [], [], [], {}
+    """Keys under which a node resembles others."""
+    low = _AT.sub("@", core.lower())
+    if "@" in low:
+        box, _, host = low.partition("@")
+        return ("@" + (box or host),) if len(box or host) > 2 else ()
+    if four := _FOUR.fullmatch(core):
+        a, b, c, d = (str(int(four[k])) for k in (1, 3, 4, 5))
+        return (f".{a}.{b}.{c}.{d}", f"/{a}.{b}.{c}")
+    if any(c.isalpha() for c in core):
+        return ("@" + low,) if len(low) > 2 else ()
+    digits = "".join(_DIGITS.findall(core))
+    return (f"#{digits[-7:]}", f"^{digits[:12]}") if len(digits) >= 12 else (f"#{digits[-7:]}",) if len(digits) >= 7 else ()
+
+
+def _free_tokens(text: str, spans: list[Span]) -> Iterator[tuple[int, int]]:
+    """Tokens with a digit or an at sign that no span touches, without the punctuation around them."""
     k = 0
-    by_start = sorted(spans)
-    open_spans: list[Span] = []
+    last = 0  # the furthest end of the spans before
     for m in _TOKEN.finditer(text):
         token = m[0]
-        if token.isalpha() or not _ANY.search(token):
+        if token.isalpha() or not (_ANY.search(token) or _AT.search(token)):
+            continue
+        while k < len(spans) and spans[k][0] < m.end():
+            last = max(last, spans[k][2])
+            k += 1
+        if last > m.start():
             continue
         core = token.strip(_EDGE)
-        if not core or not _ANY.search(core):
-            core, at = token, m.start()
+        core = core if core and (_ANY.search(core) or _AT.search(core)) else token
+        at = m.start() + token.index(core)
+        if named := _NAMED.match(core):
+            at, core = at + named.end(), core[named.end() :]
+        yield at, at + len(core)
+
+
+def _whole_numbers(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Joins numbers one space apart, of 7 to 19 digits in all."""
+    run: list[tuple[int, int]] = []
+
+    def flush() -> list[tuple[int, int]]:
+        digits = sum("0" <= c <= "9" for a, b in run for c in text[a:b])
+        return [(run[0][0], run[-1][1])] if len(run) > 1 and 7 <= digits <= 19 else run
+
+    for a, b in tokens:
+        number = _NUMBER.fullmatch(text, a, b) and text.count(".", a, b) < 3
+        if run and not (number and a - run[-1][1] == 1 and text[run[-1][1]] == " "):
+            yield from flush()
+            run = []
+        if number:
+            run.append((a, b))
         else:
-            at = m.start() + token.index(core)
-        end = at + len(core)
-        while k < len(by_start) and by_start[k][0] < end:
-            open_spans.append(by_start[k])
-            k += 1
-        if open_spans:
-            open_spans = [s for s in open_spans if s[2] > at]
-        node = len(starts)
-        starts.append(at)
-        ends.append(end)
+            yield a, b
+    if run:
+        yield from flush()
+
+
+def nodes_of(text: str, spans: list[Span]) -> Nodes | None:
+    spans = sorted(spans)
+    free = _whole_numbers(text, list(_free_tokens(text, spans)))
+    found = sorted([*((a, b, kind) for a, kind, b in spans), *((a, b, -1) for a, b in free)])
+    if not found:
+        return None
+    members: dict[str, list[int]] = {}
+    shapes: list[list[float]] = []
+    for k, (a, b, _) in enumerate(found):
+        core = text[a:b]
         shapes.append(shape(core))
-        labels.append(open_spans[0][1] if open_spans else -1)
         for key in likeness(core):
-            if key in last:
-                skips.append((last[key], node))
-            last[key] = node
-    if not starts:
-        return None
-    a = np.arange(len(starts) - 1)
-    chain = np.stack([a, a + 1], 1)
-    chain = chain[np.array(starts)[1:] - np.array(ends)[:-1] <= 3] if len(chain) else chain
-    skip = np.array(sorted(set(skips)), int).reshape(-1, 2)
-    return Nodes(np.array(starts), np.array(ends), np.array(shapes, float), np.array(labels), chain, skip)
+            members.setdefault(key, []).append(k)
+    skips = set()
+    for nodes in members.values():
+        hub = next((k for k in nodes if found[k][2] >= 0), nodes[0])
+        skips.update((min(hub, k), max(hub, k)) for k in nodes if k != hub)
+    start, end, label = (np.array(x) for x in zip(*found, strict=True))
+    at = np.arange(len(found) - 1)
+    chain = np.stack([at, at + 1], 1)[start[1:] - end[:-1] <= 3]
+    return Nodes(start, end, np.array(shapes, float), label, chain, np.array(sorted(skips), int).reshape(-1, 2))
 
 
 @dataclass
@@ -162,29 +214,33 @@ class Field:
     skip: np.ndarray
 
     def marginals(self, nodes: Nodes) -> np.ndarray:
-        """Loopy sum-product in log space, all messages at once, half damped."""
+        """Loopy sum-product in log space, all messages at once and damped, until they settle."""
         own = nodes.shape @ self.unary
         fixed = nodes.label >= 0
         own[fixed] = -1e3
         own[np.flatnonzero(fixed), nodes.label[fixed]] = 0.0
         pairs = np.concatenate([nodes.chain, nodes.skip])
-        tie = np.concatenate([np.broadcast_to(self.chain, (len(nodes.chain), LABELS, LABELS)), np.broadcast_to(self.skip, (len(nodes.skip), LABELS, LABELS))])
+        ties = np.stack([self.chain, self.skip])  # symmetric, so an edge has one table for both ways
+        is_skip = np.tile(np.arange(len(pairs)) >= len(nodes.chain), 2).astype(int)
         src, dst = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
-        tie = np.concatenate([tie, tie.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
         messages = np.zeros((len(src), LABELS))
-        belief = own
-        for _ in range(ROUNDS if len(src) else 0):
-            sent = (belief[src] - messages[back])[:, :, None] + tie
-            top = sent.max(1, keepdims=True)
-            new = np.log(np.exp(sent - top).sum(1)) + top[:, 0]
+        belief, hold = own, 0.3
+        for turn in range(ROUNDS if len(src) else 0):
+            new = np.empty_like(messages)
+            for at in range(0, len(src), EDGES):
+                part = slice(at, at + EDGES)
+                sent = (belief[src[part]] - messages[back[part]])[:, :, None] + ties[is_skip[part]]
+                top = sent.max(1, keepdims=True)
+                new[part] = np.log(np.exp(sent - top).sum(1)) + top[:, 0]
             new -= new.max(1, keepdims=True)
             change = np.abs(new - messages).max()
-            messages = 0.5 * messages + 0.5 * new
-            belief = own.copy()
-            np.add.at(belief, dst, messages)
-            if change < 1e-3:
+            messages = hold * messages + (1 - hold) * new
+            belief = own + np.stack([np.bincount(dst, messages[:, k], len(own)) for k in range(LABELS)], 1)
+            if change < SETTLED:
                 break
+            if turn % 100 == 99:
+                hold = (1 + hold) / 2
         p = np.exp(belief - belief.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
@@ -205,58 +261,130 @@ def added_spans(text: str, nodes: Nodes, field: Field) -> list[Span]:
     return out
 
 
-def evidence(nodes: Nodes) -> tuple[np.ndarray, np.ndarray]:
-    """Pseudo-likelihood rows: shape, and how many chain and skip neighbours have each label; and the labels."""
+def _variant(kind: int, entity: str, r: random.Random) -> str:
+    """The entity in a form that its rule does not accept."""
+    digits = "".join(_DIGITS.findall(entity))
+    if kind == 0:
+        box, _, host = entity.partition("@")
+        return r.choice([f"{box}(at){host}", f"{box}[at]{host}", f"{box}@{host.partition('.')[0]}", f"@{box}"])
+    if kind == 1:
+        parts = [str(int(p[-3:])) for p in entity.split(".")]
+        return r.choice(["-".join(parts), "[.]".join(parts), ".".join([*parts[:3], str(int(parts[3]) + 256)])])
+    if kind == 2:
+        wrong = digits[:-1] + str((int(digits[-1]) + r.randrange(1, 9)) % 10)
+        sign = r.choice("/._")
+        return r.choice([wrong, sign.join(digits[k : k + 4] for k in range(0, len(digits), 4)), " ".join(wrong[k : k + 4] for k in range(0, len(wrong), 4))])
+    return r.choice([digits, digits[-10:], f"{digits[-7:-4]}-{digits[-4:]}", f"{digits[:-7]}.{digits[-7:-4]}.{digits[-4:]}", f"{digits[:-7]} {digits[-7:-4]} {digits[-4:]}"])
+
+
+def _other(form: str, r: random.Random) -> str:
+    """The same form with other digits and letters."""
+    return "".join(r.choice("0123456789") if c.isdigit() else r.choice("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c for c in _AT.sub("@", form)) if "@" in _AT.sub("@", form) else "".join(r.choice("123456789") if c.isdigit() else c for c in form)
+
+
+def rehearsed(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+    """The text with its entities repeated in forms that no rule accepts, and as many look-alikes; what was added."""
+    r = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    parts, added, size = [text], [], len(text)
+    for kind, entity in sorted({(k, text[a:b]) for a, k, b in spans}):
+        form = _variant(kind, entity, r)
+        for planted, label in ((form, kind), (_other(form, r), NONE)):
+            parts.append(f" and so {planted}")
+            size += len(parts[-1])
+            added.append((size - len(planted), label, size))
+    return "".join(parts), added
+
+
+def evidence(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Pseudo-likelihood rows of a rehearsed text: a node's shape, how many chain and skip neighbours have each label,
+    and its own label. Free nodes tied to an entity have no label, so they make no row and count for no neighbour."""
+    spans = base_spans(text)
+    text, added = rehearsed(text, spans)
+    nodes = nodes_of(text, base_spans(text))
+    if nodes is None:
+        return np.zeros((0, SHAPES + 2 * LABELS)), np.zeros(0, int)
     label = np.where(nodes.label < 0, NONE, nodes.label)
+    known = nodes.label >= 0
+    for a, kind, b in added:
+        mine = (nodes.label < 0) & (nodes.start >= a) & (nodes.end <= b)
+        label[mine], known[mine] = kind, True
+    sure = known & (label != NONE)
+    one, two = nodes.skip[:, 0], nodes.skip[:, 1]
+    open_ = np.zeros(len(label), bool)
+    open_[one[sure[two]]] = open_[two[sure[one]]] = True
+    open_ &= ~known
     n = len(label)
     x = np.zeros((n, SHAPES + 2 * LABELS))
     x[:, :SHAPES] = nodes.shape
     for at, pairs in ((SHAPES, nodes.chain), (SHAPES + LABELS, nodes.skip)):
-        np.add.at(x, (pairs[:, 0], at + label[pairs[:, 1]]), 1.0)
-        np.add.at(x, (pairs[:, 1], at + label[pairs[:, 0]]), 1.0)
-    return x, label
+        for here, there in ((pairs[:, 0], pairs[:, 1]), (pairs[:, 1], pairs[:, 0])):
+            told = ~open_[there]
+            np.add.at(x, (here[told], at + label[there[told]]), 1.0)
+    return x[~open_], label[~open_]
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, rows: int | None = None) -> Field:
-    """Learns the weights on about `sample` of the documents with a digit or an at sign, SAMPLE_TOKENS tokens of each."""
+    """Learns the weights on about `sample` of the documents with a digit or an at sign, each read whole. What comes to
+    the driver is distinct rows of evidence with their counts."""
     some = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text")
     total = some.count() if rows is None else rows
-    picked = some.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total))))
+    picked = some.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total)))).select("text").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            xs, ys = [], []
-            for text in b.column(1).to_pylist():
-                nodes = nodes_of(text, base_spans(text))
-                if nodes is not None:
-                    x, y = evidence(nodes)
-                    xs += list(x[:SAMPLE_TOKENS])
-                    ys += y[:SAMPLE_TOKENS].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.list_(pa.float64())), pa.array(ys, pa.int32())], ["x", "y"])
+            for text in b.column(0).to_pylist():
+                x, y = evidence(text)
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), pa.array(y, pa.int32())], ["x", "y"])
 
     found = picked.mapInArrow(run, "x array<double>, y int").groupBy("x", "y").count().orderBy("x", "y").toPandas()
     return learn(np.stack(found["x"]), found["y"].to_numpy(), found["count"].to_numpy(float)) if len(found) else learn(np.zeros((0, SHAPES + 2 * LABELS)), np.zeros(0, int), np.zeros(0))
 
 
-def learn(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 400, ridge: float = 1.0) -> Field:
-    """Softmax regression by accelerated gradient steps. Ties between unlike labels start, and stay by ridge, below those between like ones."""
+def learn(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40, ridge: float = 1.0) -> Field:
+    """Softmax regression by Newton steps, tie weights symmetric, held by the ridge near ties of like labels."""
     prior = np.zeros((SHAPES + 2 * LABELS, LABELS))
-    prior[:SHAPES][0, NONE] = 1.0
+    prior[0, NONE] = 1.0
     prior[SHAPES : SHAPES + LABELS] = 0.2 * np.eye(LABELS)
     prior[SHAPES + LABELS :] = 1.5 * np.eye(LABELS)
-    w, old = prior.copy(), prior.copy()
-    if len(x):
-        step = 1.0 / (0.5 * float((weight * (x**2).sum(1)).sum()) / weight.sum() + ridge / weight.sum())
-        want = np.eye(LABELS)[y]
-        for t in range(rounds):
-            ahead = w + (t / (t + 3)) * (w - old)
-            z = x @ ahead
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            grad = (x.T @ (weight[:, None] * (p - want)) + ridge * (ahead - prior)) / weight.sum()
-            old, w = w, ahead - step * grad
-    tie = lambda m: (m + m.T) / 2
-    return Field(w[:SHAPES], tie(w[SHAPES : SHAPES + LABELS]), tie(w[SHAPES + LABELS :]))
+    upper = np.zeros((LABELS, LABELS), int)
+    upper[np.triu_indices(LABELS)] = np.arange(LABELS * (LABELS + 1) // 2)
+    upper = np.maximum(upper, upper.T)
+    first = SHAPES * LABELS
+    at = np.concatenate([np.arange(first).reshape(SHAPES, LABELS), first + upper, first + upper.max() + 1 + upper])  # entry -> free weight
+    size = int(at.max()) + 1
+    start = np.zeros(size)
+    start[at] = prior
+    want = np.eye(LABELS)[y]
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = x @ w[at]
+        z -= z.max(1, keepdims=True)
+        log = z - np.log(np.exp(z).sum(1, keepdims=True))
+        return float(-(weight[:, None] * want * log).sum() + ridge / 2 * ((w - start) ** 2).sum()), np.exp(log)
+
+    w = start.copy()
+    now, p = loss(w)
+    for _ in range(rounds if len(x) else 0):
+        grad = np.bincount(at.ravel(), (x.T @ (weight[:, None] * (p - want))).ravel(), size) + ridge * (w - start)
+        curve = ridge * np.eye(size)
+        for j in range(LABELS):
+            for k in range(LABELS):
+                part = (x * (weight * p[:, j] * ((j == k) - p[:, k]))[:, None]).T @ x
+                np.add.at(curve, (at[:, j][:, None], at[:, k][None, :]), part)
+        step, length = np.linalg.solve(curve, grad), 1.0
+        while length > 1e-6:
+            after, q = loss(w - length * step)
+            if after <= now:
+                break
+            length /= 2
+        if length <= 1e-6:
+            break
+        done = now - after < 1e-7 * abs(now)
+        w, now, p = w - length * step, after, q
+        if done:
+            break
+    full = w[at]
+    return Field(full[:SHAPES], full[SHAPES : SHAPES + LABELS], full[SHAPES + LABELS :])
 
 
 def joined(spans: list[Span]) -> str:
@@ -309,6 +437,6 @@ def redact(docs: DataFrame, field: Field | None = None) -> DataFrame:
                 out.append(None if text is None else "".join([*parts, text[done:]]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], b.schema.names)
 
-    row = ", ".join(f"`{n}`: {t}" for n, t in docs.dtypes)
-    done = docs.select(packed(docs).alias("_row"), F.col("text").alias("_text")).mapInArrow(run, f"_row struct<{row}>, _text string")
+    rows = docs.select(packed(docs).alias("_row"), F.col("text").alias("_text"))
+    done = rows.mapInArrow(run, T.StructType([rows.schema["_row"], T.StructField("_text", T.StringType())]))
     return done.select(F.col("_row").withField("text", F.col("_text")).alias("_row")).select("_row.*")
