@@ -162,7 +162,7 @@ def _free_tokens(text: str, spans: list[Span]) -> Iterator[tuple[int, int]]:
 
 
 def _whole_numbers(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Joins numbers one space apart, of 7 to 19 digits in all."""
+    """Joins numbers one space apart, each too short to resemble anything by itself, of 7 to 19 digits in all."""
     run: list[tuple[int, int]] = []
 
     def flush() -> list[tuple[int, int]]:
@@ -170,7 +170,7 @@ def _whole_numbers(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[i
         return [(run[0][0], run[-1][1])] if len(run) > 1 and 7 <= digits <= 19 else run
 
     for a, b in tokens:
-        number = _NUMBER.fullmatch(text, a, b) and text.count(".", a, b) < 3
+        number = _NUMBER.fullmatch(text, a, b) and not likeness(text[a:b])
         if run and not (number and a - run[-1][1] == 1 and text[run[-1][1]] == " "):
             yield from flush()
             run = []

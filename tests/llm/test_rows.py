@@ -273,7 +273,7 @@ FORMS = (
 @pytest.mark.parametrize(("entity", "form", "kind"), FORMS)
 @pytest.mark.parametrize("repeats", [1, 60])
 def test_the_fitted_field_adds_repeats_at_any_distance(field, entity, form, kind, repeats):
-    filler = " " + words(200, 3).replace("w", "v ") + " "
+    filler = " " + words(200, 3).replace("w", "v ") + " to "
     text = f"Write {entity} today." + filler + filler.join([form] * repeats) + " end"
     base, more = pii.find(text, field)
     assert base == [(6, kind, 6 + len(entity))] and len(more) == repeats and {k for _, k, _ in more} == {kind}
