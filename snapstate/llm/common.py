@@ -16,12 +16,15 @@ SPACE = r"\x20\x09-\x0D"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder in spark.checkpoint.dir; a local one is set only where that is unset (tests)."""
+    """The shared folder in spark.checkpoint.dir. Only a session without executors of its own (tests) gets a local one
+    where that is unset; elsewhere it is an error, as executors do not share the driver's folders."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="snapstate-"))
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
     return known.get()
@@ -37,18 +40,28 @@ def purge(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def keep(df: DataFrame, name: str, rows: int | None = None, rows_each: int = 50_000) -> DataFrame:
+def keep(df: DataFrame, name: str, rows: int | None = None, rows_each: int = 50_000, partition_by: str | None = None) -> DataFrame:
     """Writes df to the shared folder and rereads it: the lineage ends here and lost executors lose nothing.
 
-    With `rows`, a bound of how many there are, no more files are written than have rows_each rows.
+    With `rows`, a bound of how many there are, no more files are written than have rows_each rows. With partition_by,
+    an int column, its values are folders, and a filter on it reads only its own.
     """
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // rows_each)))
     path = f"{_own_scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_each(frames: Iterable[DataFrame], name: str) -> DataFrame:
+    """Writes frames of one schema one after the other and rereads them as one."""
+    path, last = None, None
+    for last in frames:
+        path = path or f"{_own_scratch(last.sparkSession)}/{name}-{uuid.uuid4().hex}"
+        last.write.mode("append").parquet(path)
+    return last.sparkSession.read.schema(last.schema).parquet(path)
+
+
 def drop_kept(df: DataFrame) -> None:
     """Deletes the files of a table made by keep()."""
     spark = df.sparkSession

@@ -50,9 +50,8 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).isEmpty()
 
 
-@pytest.mark.parametrize("max_mb", [64, 0])
-def test_exact_report(table, odd_rows, max_mb):
-    got = exact.duplicate_report(table(odd_rows), max_mb).collect()
+def test_exact_report(table, odd_rows):
+    got = exact.duplicate_report(table(odd_rows)).collect()
     ids = defaultdict(list)
     for i, t, *_ in odd_rows:
         ids[t or ""].append(i)
@@ -77,18 +76,44 @@ def test_exact_rows(table, odd_rows):
     assert exact.deduplicate(table([])).isEmpty() and exact.duplicate_report(table([])).isEmpty()
 
 
-def test_a_hot_text_is_spread(spark):
+def test_exact_rows_with_maps_and_odd_names(table):
+    docs = table([(1, "a"), (1, "a"), (2, "b"), (None, "b")], clash=False).selectExpr("*", "map('a', doc_id) AS `my col`", "array(map(1, 2)) AS `x.y`", "struct(map(1, 2) AS `b c`) AS z")
+    out = exact.deduplicate(docs)
+    assert out.dtypes == docs.dtypes and sorted((r["doc_id"], r["my col"]["a"]) for r in out.collect()) == [(1, 1), (2, 2)]
+
+
+def test_exact_sql_on_repeated_rows_and_nulls(table):
+    import duckdb
+
+    from snapstate.llm.oracle import EXACT
+
+    rows = [(2, "x"), (2, "x"), (1, "x"), (None, "x"), (None, None), (5, ""), (None, "y")]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = exact.duplicate_report(table(rows)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert Counter(map(tuple, got)) == Counter(con.sql(f"SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM ({EXACT})").fetchall())
+
+
+@pytest.mark.parametrize("max_mb", [64, 0])
+def test_a_hot_text_is_spread(spark, max_mb):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("hot").alias("text"))
-    out = exact.duplicate_report(docs)
+    out = exact.duplicate_report(docs, max_mb)  # with 0, a page of the filter at a time
+    rows = exact.deduplicate(docs, max_mb)
+    assert rows.count() == 13_334 and rows.where("text = 'hot'").collect() == [(19_998, "hot")]
     assert out.where("kept").count() == 13_334 and out.where("group_size > 1").select("keep_id").distinct().collect() == [(19_998,)]
 
 
-def test_the_filter_lets_unique_rows_pass(spark):
+@pytest.mark.parametrize("max_mb", [64, 0])
+def test_only_possible_repeats_are_flagged(spark, max_mb):
     hashes = spark.range(10_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("sha"))
     twice = hashes.limit(100)
     rows = hashes.unionByName(twice)
-    flagged = exact.flag_members(rows, exact.bloom_filter(rows, 10_100))
-    assert flagged.where("_maybe").count() < 1200
+    found = exact.bloom_filter(rows, 10_100, max_mb)
+    assert found.ranges == (1 if max_mb else 5)
+    flagged = exact.flag_members(rows, found)
+    assert flagged.columns == ["sha", "_maybe"] and flagged.count() == 10_100
+    assert flagged.where("_maybe").count() < 210  # 200 repeats
     assert flagged.where("_maybe").join(twice, "sha", "left_semi").count() == 200
 
 
