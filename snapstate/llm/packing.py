@@ -8,13 +8,15 @@ one window and a fraction of a percent of that of one global run, and no task's
 
 Tokens never shuffle: a piece travels as its place, length and checksum.
 
-Defined cases: a null or empty text is a document of the end id alone; documents with one doc_id are packed as
-documents of their own; an empty table gives an empty result; other columns are ignored.
+Defined cases: a null or empty text is a document of the end id alone; a special token's string in a text is that
+token, as in a plain call of the tokenizers library; documents with one doc_id are packed as documents of their own and
+dealt row by row, however many they are; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,16 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import keep
+
 WINDOW, END_ID, SHARD_PIECES = 1024, 0, 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 @lru_cache(maxsize=2)
 def encoder(name: str):
-    """text -> ids of the tokenizers file `name`.
+    """text -> ids of the tokenizers file `name`, as encode(text, add_special_tokens=False) gives them.
 
     tiktoken runs the same merges on the same vocabulary (ranks), several times faster than the tokenizers library; a
-    test holds the two against each other. Files without a rank twin run in the tokenizers library.
+    test holds the two against each other. Both cut the text at special tokens first. Files without a rank twin run in
+    the tokenizers library.
     """
     import public_tokenizers as files
 
@@ -42,11 +47,13 @@ def encoder(name: str):
 
         with open(files.path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        return tiktoken.Encoding("ranks", pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        with open(files.path(name), encoding="utf-8") as spec:
+            special = {t["content"]: t["id"] for t in json.load(spec)["added_tokens"]}
+        fast = tiktoken.Encoding("ranks", pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        return lambda text: fast.encode(text, allowed_special="all")
     from tokenizers import Tokenizer
 
     read = Tokenizer.from_file(files.path(name))
-    read.encode_special_tokens = True
     return lambda text: read.encode(text, add_special_tokens=False).ids
 
 
@@ -116,27 +123,32 @@ def best_fit(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return where, offset
 
 
-def pack(docs: DataFrame, name: str = "byte_bpe_50k.json", window: int = WINDOW, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """The pieces of docs with sequence_id and offset. sequence_id = shard * 2**32 + number in the shard."""
-    from .common import keep
-
-    cut = keep(pieces(docs, name, window), "pieces")
+def _placed(cut: DataFrame, window: int, shard_pieces: int) -> DataFrame:
+    """Stored pieces with sequence_id and offset. Pieces are dealt by their number, whatever their doc_id."""
     shards = max(1, -(-cut.count() // shard_pieces))
-    dealt = cut.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards)))
+    dealt = cut.withColumn("_shard", F.pmod(F.xxhash64("_piece"), F.lit(shards)))
 
     def place(pdf):
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "_piece"], ascending=[False, True], kind="stable")
         where, offset = best_fit(pdf["length"].to_numpy(np.int64), window)
-        return pdf.assign(sequence_id=(pdf["_shard"].to_numpy(np.int64) << 32) + where, offset=offset).drop(columns="_shard")
+        return pdf.assign(sequence_id=(pdf["_shard"].to_numpy(np.int64) << 32) + where, offset=offset)
+
+    return dealt.groupBy("_shard").applyInPandas(place, ", ".join(f"{n} {t}" for n, t in dealt.dtypes) + ", sequence_id long, offset long").drop("_shard")
 
-    return dealt.groupBy("_shard").applyInPandas(place, PIECES + ", sequence_id long, offset long")
+
+def _cut(docs: DataFrame, name: str, window: int, with_ids: bool) -> DataFrame:
+    return keep(pieces(docs, name, window, with_ids).withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+
+
+def pack(docs: DataFrame, name: str = "byte_bpe_50k.json", window: int = WINDOW, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+    """The pieces of docs with sequence_id and offset. sequence_id = shard * 2**32 + number in the shard."""
+    return _placed(_cut(docs, name, window, False), window, shard_pieces).drop("_piece")
 
 
 def sequences(docs: DataFrame, name: str = "byte_bpe_50k.json", window: int = WINDOW, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """The packed sequences themselves: sequence_id, ids (padded with the end id to the window), n_tokens."""
-    placed = pack(docs, name, window, shard_pieces)
-    ids = pieces(docs, name, window, with_ids=True).select("doc_id", "start", "ids_crc32", "ids").dropDuplicates(["doc_id", "start", "ids_crc32"])
-    parts = placed.join(ids, [placed["doc_id"].eqNullSafe(ids["doc_id"]), placed["start"] == ids["start"], placed["ids_crc32"] == ids["ids_crc32"]]).select("sequence_id", "offset", ids["ids"])
+    cut = _cut(docs, name, window, True)
+    parts = _placed(cut.select("_piece", "length"), window, shard_pieces).join(cut.select("_piece", "ids"), "_piece")
     rows = parts.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))
     n = F.size("ids")
     return rows.select("sequence_id", F.concat("ids", F.array_repeat(F.lit(END_ID), F.lit(window) - n)).alias("ids"), n.alias("n_tokens"))
