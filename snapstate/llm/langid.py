@@ -6,7 +6,8 @@ centroids per language, found by spherical k-means; the nearest centroid's langu
 its centroid than the training texts of that centroid (with some slack) is rejected: flagged, not relabelled.
 
 Training rows have a lang and crc32(doc_id as text) mod 5 other than 0. At most about SAMPLE of them are used, in
-equal quotas for each of the MAX_LANGS most frequent values.
+equal quotas for each value of lang, but at least about one each: the model, like any of centroids, has a size in
+proportion to the number of languages. Rows that are equal in doc_id, text and lang count once.
 
 Defined cases: a null text or one without a letter is `und` with score 0; without training rows everything is;
 repeated rows get equal results; of equally near centroids the first language in order counts; an empty table gives
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import fold
 
-DIMS, CENTROIDS, SAMPLE, MAX_LANGS = 2048, 3, 6000, 500
+DIMS, CENTROIDS, SAMPLE = 2048, 3, 6000
 #: A text is rejected beyond this quantile of its centroid's training distances, times the slack.
 QUANTILE, SLACK = 0.995, 1.15
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -120,21 +121,23 @@ def train(found: np.ndarray, lang: list[str], centroids: int = CENTROIDS) -> Mod
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0)).select("doc_id", "text", "lang")
-    per = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    per = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.xxhash64("doc_id", "text")).alias("least")).collect()
     if not per:
         return Model()
     quota = max(1, sample // len(per))
-    limits = F.create_map(*[F.lit(v) for r in per for v in (r["lang"], int((1 << 30) * min(1.0, quota / r["count"])))])
-    picked = known.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.try_element_at(limits, F.col("lang")))
+    limits = known.sparkSession.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, quota / r["n"])), r["least"]) for r in per], "lang string, bound long, least long")
+    spot = F.xxhash64("doc_id", "text")
+    picked = known.withColumn("row", spot).join(F.broadcast(limits), "lang").where((F.pmod("row", F.lit(1 << 30)) < F.col("bound")) | (F.col("row") == F.col("least")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [(n, counts(t), d) for d, t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            got = [(n, counts(t), k) for k, t, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             got = [g for g in got if g[1] is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([np.minimum(g[1], 65535).astype("<u2").tobytes() for g in got], pa.binary()), pa.array([g[2] for g in got], pa.int64())], ["lang", "counts", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1].astype("<f4").tobytes() for g in got], pa.binary()), pa.array([g[2] for g in got], pa.int64())], ["lang", "counts", "row"])
 
-    rows = picked.select(F.col("doc_id").cast("long"), "text", "lang").mapInArrow(run, "lang string, counts binary, doc_id long").orderBy("doc_id", "lang", "counts").toPandas()
-    found = np.array([np.frombuffer(c, "<u2") for c in rows["counts"]], np.float32).reshape(-1, DIMS)
+    rows = picked.select("row", "text", "lang").mapInArrow(run, "lang string, counts binary, row long")
+    rows = rows.groupBy("lang", "row").agg(F.max("counts").alias("counts")).orderBy("row", "lang").toPandas()
+    found = np.array([np.frombuffer(c, "<f4") for c in rows["counts"]], np.float32).reshape(-1, DIMS)
     return train(found, rows["lang"].tolist())
 
 
