@@ -8,8 +8,10 @@ scoring reads every row and whole text where it lies and shuffles nothing.
 Training rows are the labelled ones whose crc32(doc_id as text) mod 5 is not 0.
 
 Defined cases: null and empty texts have the features of a text without words; unlabelled and null labels are not
-learned from; of several labels for one doc_id the highest counts; without any training row every score is 0; rows
-are scored one by one, so repeated rows get equal scores; other columns are ignored.
+learned from; of several labels for one doc_id the highest counts, and of several texts of one labelled doc_id one;
+where all training labels are alike every score is that label, without any training row 0; rows are scored one by one,
+so repeated rows get equal scores; an empty table gives an empty result; other columns, whatever their names or types,
+are ignored by report() and carried by score() and keep_clean().
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fold, keep, packed, whole_text
 
@@ -189,13 +192,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     total = marked.count()
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     picked = marked.where(spot < int((1 << 30) * min(1.0, sample / max(1, total))))
-    rows = keep(docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(picked), "doc_id"), "toxicity")
+    rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = keep(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")), "toxicity")
     plain = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
     stems = [F.transform(F.filter(plain, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in STEMS]
     words = rows.select("toxic", F.explode(F.array_distinct(F.concat(plain, *stems))).alias("word"))
     counts = rows.agg(F.sum(F.col("toxic").cast("long")).alias("bad"), F.count("*").alias("n")).first()
     if not counts["bad"] or counts["bad"] == counts["n"]:
-        return Model()
+        return Model(knots=(np.zeros(1), np.full(1, 1.0 if counts["bad"] else 0.0)))
     bad, good = counts["bad"], counts["n"] - counts["bad"]
     seen = words.groupBy("word").agg(F.sum(F.col("toxic").cast("long")).alias("b"), F.count("*").alias("n")).where("b >= 3")
     odds = F.log((F.col("b") + 0.5) / (bad + 1.0)) - F.log((F.col("n") - F.col("b") + 0.5) / (good + 1.0))
@@ -232,8 +236,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             s = model.score(look.matrix(t.as_py() for t in b.column(at))) if b.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], [*b.schema.names, *names])
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{schema}, score double, predicted int")
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
