@@ -113,14 +113,22 @@ def with_group(rows: DataFrame, keys: list[str], salt_on: list[str], aggs: dict[
     return salted.join(full.where(having) if having else full, [*keys, "_salt"]).drop("_salt")
 
 
-def running(rows: DataFrame, group: str, order: str, ties: list[str], value: str, name: str, bits: int = 8) -> DataFrame:
+def content_order() -> Column:
+    """A hex string that orders rows at random, but alike in every run: md5 of doc_id and text. Rows of one doc_id, or
+    of one text, are spread like others."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), whole_text()))
+
+
+def running(rows: DataFrame, group: str, order: str, ties: list[str], value: str, name: str, bits: int = 8, bucket: Column | None = None) -> DataFrame:
     """Adds `name`: the sum of `value` over the rows before this one in its group (exclusive prefix sum).
 
-    Rows are ordered by the hex string `order`, then `ties`. The first `bits` bits (16 at most) of `order` split each
-    group into buckets; bucket totals are summed first, and each bucket is finished on its own, so a group of any
-    size is spread over 2**bits tasks.
+    Rows are ordered by `order`, then `ties`. Each group is split into buckets: by the first `bits` bits (16 at most) of
+    `order`, a hex string, or by `bucket`, any int that rises with the order. Bucket totals are summed first, and each
+    bucket is finished on its own, so a group of any size is spread over 2**bits tasks.
     """
-    cut = rows.withColumn("_bucket", F.shiftright(F.conv(F.substring(order, 1, 4), 16, 10).cast("int"), 16 - bits))
+    if bucket is None:
+        bucket = F.shiftright(F.conv(F.substring(order, 1, 4), 16, 10).cast("int"), 16 - bits)
+    cut = rows.withColumn("_bucket", bucket)
     total = cut.groupBy(group, "_bucket").agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     start = total.select(group, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))

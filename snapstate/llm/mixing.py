@@ -6,10 +6,16 @@ min(cap, level * weight), with the one level that spends everything; sorting sou
 
 Curriculum: each source has a piecewise linear weight over training time 0..1. Its integral, scaled to the source's
 target, is the cumulative demand for its words; a document (or its next repeat) that begins at word u of that demand
-is trained at the time where the integral reaches u. The mix is range-sorted by this time.
+is trained at the time where the integral reaches u. Every copy's place in the order of these times is its position:
+copies are dealt by ranges of time, and a range's positions follow on the number of copies in those before.
+
+All of this is decided on a narrow table, written once: texts are read once to count words, and move only in mix(),
+to meet their positions and into the order of training.
 
 Defined cases: null or empty texts have no words and are never taken; a null source is a source of its own; repeated
-rows are documents of their own; an empty table, or one without words, gives targets of 0 and an empty mix.
+rows are documents of their own; an empty table, or one without words, gives targets of 0 and an empty mix; other
+columns, whatever their names or types, are ignored by report() and carried by mix(). Targets sort one row for each
+source in one task.
 """
 
 from __future__ import annotations
@@ -17,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, bucket_bits, n_words, packed, running
+from .common import SPACE, bucket_bits, content_order, keep, n_words, packed, running
 
 WEIGHTS, MAX_EPOCHS = (5, 2, 1), 3
 #: Weight against time for the sources of each weight above: early, steady, late.
@@ -65,47 +71,60 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     return per.withColumn("target", F.least(F.col("_cap").cast("double"), F.coalesce(level, F.lit(0.0)) * F.col("_w"))).select("source", "source_size", "kind", "target")
 
 
+def _group() -> Column:
+    """The source as a key that is never null and sorts like it, null last."""
+    return F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-"))
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """docs (with _size, and _tie to order rows of one doc_id) and columns _source_size, _kind, _target, _before, _taken.
+    """A row for each copy that the mix takes, and one with _taken = 0 for each document that it takes none of:
+    doc_id, _order, _g, _size, _source_size, _target, _before, _taken, _copy, _time, _position (null where none).
 
-    A source's documents, in order of md5 of their doc_id, form a stream of _source_size words which the mix reads
+    A source's documents, in order of md5 of doc_id and text, form a stream of _source_size words which the mix reads
     round and round until it has the target: each is taken whole as often as there are full rounds, those at the
     front once more, and the one on the last boundary in part.
     """
-    base = docs.withColumns({"_order": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "_g": F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-"))})
-    per = targets(docs.select("source", F.col("_size").alias("size")), weights, max_epochs)
-    per = per.select(F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("_g"), F.col("source_size").alias("_source_size"), F.col("kind").alias("_kind"), F.col("target").alias("_target"))
-    cut = running(base, "_g", "_order", ["doc_id", "_size", "_tie"], "_size", "_before", bucket_bits(docs.count() // 3, 2_000))
-    rows = cut.join(per, "_g")
+    narrow = keep(docs.select("doc_id", "source", n_words(F.col("text")).alias("_size"), content_order().alias("_order"), _group().alias("_g")), "mixing")
+    per = targets(narrow.select("source", F.col("_size").alias("size")), weights, max_epochs).withColumn("_g", _group())
+    per = per.select("_g", F.col("source_size").alias("_source_size"), F.col("kind").alias("_kind"), F.col("target").alias("_target"))
+    bits = bucket_bits(narrow.count())
+    rows = running(narrow, "_g", "_order", ["doc_id"], "_size", "_before", bits).join(per, "_g")
     words = F.round("_target").cast("long")
     size = F.greatest(F.col("_source_size"), F.lit(1))
     rounds, rest = F.floor(words / size), words % size
     taken = rounds * F.col("_size") + F.least(F.greatest(rest - F.col("_before"), F.lit(0)), F.col("_size"))
-    return rows.withColumn("_taken", taken.cast("long")).drop("_g", "_order")
+    rows = rows.withColumn("_taken", taken.cast("long"))
+    last = F.greatest(F.floor((F.col("_taken") - 1) / F.greatest(F.col("_size"), F.lit(1))), F.lit(0)).cast("int")
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), last)))
+    start = F.col("_copy") * F.col("_source_size") + F.col("_before")
+    time = F.when(F.col("_taken") > 0, time_of(start / F.greatest(F.col("_target"), F.lit(1.0)), F.col("_kind")))
+    rows = rows.withColumns({"_time": time, "_all": F.lit(0), "_one": (F.col("_taken") > 0).cast("long")})
+    ranges = F.least(F.floor(F.coalesce("_time", F.lit(1.0)) * (1 << bits)), F.lit((1 << bits) - 1)).cast("int")
+    placed = running(rows, "_all", "_time", ["_order", "_g", "_copy"], "_one", "_position", bits, ranges)
+    return placed.withColumn("_position", F.when(F.col("_taken") > 0, F.col("_position"))).drop("_all", "_one", "_kind", "source")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken and first_time (when the document is first trained, null if never)."""
-    narrow = docs.select("doc_id", "source", n_words(F.col("text")).alias("_size"), F.xxhash64("text").alias("_tie"))
-    share = F.col("_before") / F.greatest(F.col("_target"), F.lit(1.0))
-    return plan(narrow).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), F.when(F.col("_taken") > 0, F.round(time_of(share, F.col("_kind")), 6)).alias("first_time"))
+    """doc_id, size, source_size, target, taken, first_time (when the document is first trained, null if never) and
+    position (the place of that copy among all copies of the mix, from 0)."""
+    first = plan(docs).where("_copy = 0")
+    return first.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), F.round("_time", 6).alias("first_time"), F.col("_position").alias("position"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix itself: the columns of docs, a row for each time a document is trained, range-sorted by that time.
+    """The mix itself: the columns of docs, a row for each time a document is trained, range-sorted by position.
 
     Repeats keep their doc_id. A source's one document on the boundary is cut after its last taken word.
     """
-    base = docs.select(packed(docs).alias("_row"), "doc_id", "source", n_words(F.col("text")).alias("_size"), F.xxhash64("text").alias("_tie"))
-    rows = plan(base).where("_taken > 0")
-    copies = F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.col("_size")).cast("int"))
-    rows = rows.withColumn("_copy", F.explode(copies))
-    rows = rows.withColumn("_n", F.least(F.col("_size"), F.col("_taken") - F.col("_copy") * F.col("_size")))
-    start = F.col("_copy") * F.col("_source_size") + F.col("_before")
-    rows = rows.withColumn("_time", time_of(start / F.greatest(F.col("_target"), F.lit(1.0)), F.col("_kind")))
+    turn = Window.partitionBy("_order", "_g")  # tells rows of one doc_id, text and source apart
+    copies = plan(docs).where("_taken > 0").withColumn("_turn", F.dense_rank().over(turn.orderBy("_before")))
+    copies = copies.select("_order", "_g", "_turn", "_size", "_position", F.least(F.col("_size"), F.col("_taken") - F.col("_copy") * F.col("_size")).alias("_n"))
+    wide = docs.select(packed(docs).alias("_row"), content_order().alias("_order"), _group().alias("_g"))
+    wide = wide.withColumn("_turn", F.row_number().over(turn.orderBy(F.monotonically_increasing_id())))
+    rows = wide.join(copies, ["_order", "_g", "_turn"])
     head = F.array_join(F.slice(F.regexp_extract_all("_row.text", F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0)), 1, F.col("_n").cast("int")), "")
     text = F.when(F.col("_n") < F.col("_size"), head).otherwise(F.col("_row.text"))
-    ordered = rows.repartitionByRange(F.col("_time"), F.xxhash64("doc_id")).sortWithinPartitions("_time", "doc_id")
+    ordered = rows.repartitionByRange("_position").sortWithinPartitions("_position")
     out = {"text": text}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.when(F.col("_n") < F.col("_size"), F.length(head)).otherwise(F.col("_row.n_chars")).cast(dict(docs.dtypes)["n_chars"])

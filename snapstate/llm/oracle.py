@@ -25,12 +25,12 @@ SHARDS = f"""
 WITH RECURSIVE steps(i, c, k) AS (SELECT range::BIGINT, range::BIGINT, 0 FROM range(256)
   UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
 crc AS (SELECT list(c ORDER BY i) AS l FROM steps WHERE k = 8),
-d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
-e AS (SELECT doc_id, octet_length(t) + 1 AS size, list_transform(regexp_extract_all(hex(t), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM d),
-f AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda s, x: xor(s >> 8, l[(xor(s, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32 FROM e, crc),
+d AS (SELECT doc_id, encode(coalesce(text, '')) AS t, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS o FROM documents),
+e AS (SELECT doc_id, o, octet_length(t) + 1 AS size, list_transform(regexp_extract_all(hex(t), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM d),
+f AS (SELECT doc_id, o, size, xor(list_reduce(bytes, lambda s, x: xor(s >> 8, l[(xor(s, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32 FROM e, crc),
 eight AS ({_jump(8)}), nine AS ({_jump(9)})
 SELECT f.doc_id, size, text_crc32, 'key' AS law, eight.b AS shard, nine.b AS grown_shard,
-       row_number() OVER (PARTITION BY eight.b ORDER BY md5(coalesce(f.doc_id::VARCHAR, '')), f.doc_id, size, text_crc32) - 1 AS slot
+       row_number() OVER (PARTITION BY eight.b ORDER BY o) - 1 AS slot
 FROM f JOIN eight ON f.doc_id IS NOT DISTINCT FROM eight.doc_id JOIN nine ON f.doc_id IS NOT DISTINCT FROM nine.doc_id
 """
 
@@ -48,7 +48,7 @@ def _time(share: str, kind: str) -> str:
 
 
 MIXING = rf"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS o FROM documents),
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS o FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS z FROM d GROUP BY source),
 k AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INTEGER AS kind FROM s),
 w AS (SELECT *, [5, 2, 1][kind + 1]::BIGINT AS w, 3 * z AS cap FROM k),
@@ -57,10 +57,13 @@ l AS (SELECT *, cap::DOUBLE / w AS ratio,
         / (sum(w) OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM w),
 t AS (SELECT source, z, kind, least(cap::DOUBLE, coalesce((SELECT arg_min(level, ratio) FROM l WHERE level <= ratio), 0.0::DOUBLE) * w) AS target FROM l),
 p AS (SELECT d.*, t.z, t.kind, t.target, round(t.target)::BIGINT AS words,
-        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, d.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-q AS (SELECT *, (words // greatest(z, 1)) * size + least(greatest(words % greatest(z, 1) - before, 0), size) AS taken, before::DOUBLE / greatest(target, 1.0::DOUBLE) AS share FROM p)
-SELECT doc_id, size, z AS source_size, target, taken::BIGINT AS taken, CASE WHEN taken > 0 THEN round({_time("share", "kind")}, 6) END AS first_time FROM q
+q AS (SELECT *, ((words // greatest(z, 1)) * size + least(greatest(words % greatest(z, 1) - before, 0), size))::BIGINT AS taken FROM p),
+c AS (SELECT id, o, source, kind, copy, (copy * z + before)::DOUBLE / greatest(target, 1.0::DOUBLE) AS share
+      FROM (SELECT *, unnest(range(CASE WHEN taken > 0 THEN (taken - 1) // size + 1 ELSE 0 END)) AS copy FROM q)),
+m AS (SELECT id, copy, time, row_number() OVER (ORDER BY time, o, source NULLS LAST, copy, id) - 1 AS position FROM (SELECT *, {_time("share", "kind")} AS time FROM c))
+SELECT doc_id, size, z AS source_size, target, taken, round(time, 6) AS first_time, position FROM q LEFT JOIN m ON q.id = m.id AND m.copy = 0
 """
 
 

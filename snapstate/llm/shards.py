@@ -3,8 +3,12 @@
 The shard of a key follows from the key and the number of shards alone. Appending a shard moves the fraction
 1 / (n + 1) of the keys, all of them into the new shard.
 
-Defined cases: a null doc_id is the key 0 and sorts as the empty string; a null text has no bytes; repeated rows go to one shard and get
-slots of their own; an empty table gives an empty result.
+Slots count each shard's rows in order of md5 of doc_id and text, by prefix sums over buckets of that order, so the
+rows of a shard, or of one doc_id, spread over many tasks.
+
+Defined cases: a null doc_id is the key 0 and sorts as the empty string; a null text has no bytes; repeated rows go to
+one shard and get slots of their own; an empty table gives an empty result; other columns are ignored by assign() and
+carried by write_shards().
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, running, whole_text
+from .common import bucket_bits, content_order, keep, running, whole_text
 
 #: The multiplier of the published algorithm (Lamping and Veach, 2014).
 STEP = np.uint64(2862933555777941757)
@@ -43,14 +47,15 @@ def shard_of(key: Column, shards: int) -> Column:
 
 
 def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard; slots count each shard's rows by md5 of the doc_id."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard. Texts are read once, into a narrow table."""
     text = whole_text()
     rows = docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), F.lit("key").alias("law"),
         shard_of(F.col("doc_id"), shards).alias("shard"), shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_order"), F.lit(1).cast("long").alias("_one"),
+        content_order().alias("_order"), F.lit(1).cast("long").alias("_one"),
     )
-    out = running(rows, "shard", "_order", ["doc_id", "size", "text_crc32"], "_one", "slot", bucket_bits(docs.count() // shards))
+    rows = keep(rows, "shards")
+    out = running(rows, "shard", "_order", ["doc_id"], "_one", "slot", bucket_bits(rows.count() // shards))
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 

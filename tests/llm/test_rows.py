@@ -30,13 +30,11 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_equal_those_of_the_tokenizers_library(spark, sf_dir, tokenizer):
-    texts = [r["text"] for r in documents(spark, sf_dir).select("text").collect()] + ["", " ", "<|endoftext|> x", "a b\n\n\n  c", "🎉" * 2000, "1234567890" * 30, "a" * 20_000, " " * 20_000, "\n" * 9000 + "x", "漢字" * 3000, "a\x00b\ufffd " * 500]
+    texts = [r["text"] for r in documents(spark, sf_dir).select("text").collect()] + ["", " ", "<|endoftext|> x", "a<|endoftext|>b", "a <|endoftext|> b<|endoftext|><|endoftext|>", "<|endoftext|", "<|ENDOFTEXT|>\n<|endoftext|>\n", "a b\n\n\n  c", "🎉" * 2000, "1234567890" * 30, "a" * 20_000, " " * 20_000, "\n" * 9000 + "x", "漢字" * 3000, "a\x00b\ufffd " * 500]
     for text, want in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
         assert packing.token_ids(text, "byte_bpe_50k.json").tolist() == [*want.ids, 0]
 
@@ -70,7 +68,14 @@ def test_packing(table, odd_rows, tokenizer):
     assert n <= 1.2 * total / 1024
     assert packing.pack(table([])).isEmpty()
     out = packing.sequences(table(rows)).collect()
-    assert {len(r["ids"]) for r in out} == {1024} and sum(r["n_tokens"] for r in out) >= total - 1024 * 2
+    assert {len(r["ids"]) for r in out} == {1024} and sum(r["n_tokens"] for r in out) == sum(len(packing.token_ids(t, "byte_bpe_50k.json")) for _, t, *_ in rows)
+
+
+def test_rows_of_one_doc_id_are_dealt_over_shards(table, tokenizer):
+    rows = [(None if k % 2 else 7, words(20 + k % 9, k)) for k in range(300)]
+    placed = packing.pack(table(rows), shard_pieces=30).collect()
+    check_packed(rows, placed, tokenizer)
+    assert len({r["sequence_id"] >> 32 for r in placed}) == 10
 
 
 def naive_best_fit(lengths, window):
@@ -176,6 +181,9 @@ def test_mixing_targets_and_taken(table):
         assert r["source_size"] == sizes[s] and math.isclose(r["target"], want[s], rel_tol=1e-9, abs_tol=1e-9)
         assert 0 <= r["taken"] <= 3 * r["size"] and (r["first_time"] is None) == (r["taken"] == 0)
         taken[s] += r["taken"]
+    copies = [(r["first_time"], r["position"]) for r in got if r["taken"]]
+    assert len({p for _, p in copies}) == len(copies) and [t for t, _ in sorted(copies, key=lambda c: c[1])] == sorted(t for t, _ in copies)
+    assert max(p for _, p in copies) < sum(-(-r["taken"] // r["size"]) for r in got if r["taken"]) and all((r["position"] is None) == (r["taken"] == 0) for r in got)
     assert len(got) == len(rows) and all(abs(taken[s] - want[s]) <= 0.5001 for s in sizes)
 
 
@@ -188,6 +196,9 @@ def test_the_mix_in_order(table):
     for r in mixing.report(docs).collect():
         plan[r["doc_id"]] += r["taken"]
     got = Counter()
+    order = {r["doc_id"]: r["position"] for r in mixing.report(docs).collect() if r["taken"] and r["doc_id"] != 5}
+    firsts = [r["doc_id"] for k, r in enumerate(out.collect()) if order.get(r["doc_id"]) == k]
+    assert set(firsts) == set(order)  # each document's first copy stands at its position
     for r in out.collect():
         got[r["doc_id"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
         assert r["n_chars"] == len(r["text"])
