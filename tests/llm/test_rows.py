@@ -389,6 +389,73 @@ def test_language_cases(table, odd_rows):
     assert {r["lang_pred"] for r in langid.report(table([(1, "text", None, "s")])).collect()} == {"und"}
 
 
+def plain_counts(text):
+    """The n-gram counts in plain Python: one space around words of letters, places by the multiplicative hash."""
+    out, mask = [0.0] * langid.DIMS, 2**64 - 1
+    letters = [ord(c) if c.isalpha() else 0 for c in (text or "").lower()]
+    if not any(letters):
+        return None
+    squeezed = [0] + [p for before, p in zip([0, 0, *letters], [0, *letters, 0]) if p or before]
+    for n in (1, 2, 3):
+        for k in range(len(squeezed) - n + 1):
+            gram = 0
+            for i in range(n):
+                gram = (gram * 0x1_0001_0001 + squeezed[k + i] + i + 1) & mask
+            out[(gram * 0x9E3779B97F4A7C15 & mask) >> 53] += 1
+    return out
+
+
+def test_languages_equal_plain_nearest_centroids(table, odd_rows):
+    """fit() and report() on a whole table against plain Python: counts, idf, unit vectors, k-means, nearest centroid."""
+    rows = [(100 + k, "the cat and the dog " + words(9, k).replace("w", "th"), "en") for k in range(30)] + [(200 + k, "el gato y el perro ñ " + words(9, k).replace("w", "qu"), "es") for k in range(30)]
+    rows = [*rows, *[(d, t, None, "s") for d, t, *_ in odd_rows if t is None or len(t) < 2000], (300, "12 34 !?"), (400, "zyx zyx", "rare"), (103, rows[3][1], "en")]
+    known = sorted({(d, t, g[0]) for d, t, *g in rows if d is not None and t and g and g[0] and zlib.crc32(str(d).encode()) % 5 and plain_counts(t)}, key=str)
+    vectors = [plain_counts(t) for _, t, _ in known]
+    idf = [math.log((1 + len(vectors)) / (1 + sum(v[k] > 0 for v in vectors))) + 1 for k in range(langid.DIMS)]
+
+    def unit(v):
+        v = [math.log1p(c) * w for c, w in zip(v, idf, strict=True)]
+        size = math.sqrt(sum(x * x for x in v))
+        return [x / size for x in v]
+
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True) if x)
+    centroids = []
+    for lang in sorted({g for _, _, g in known}):
+        mine = [unit(v) for v, (_, _, g) in zip(vectors, known, strict=True) if g == lang]
+        mean = [sum(c) / len(mine) for c in zip(*mine, strict=True)]
+        c = [max(mine, key=lambda v: dot(v, mean))]
+        while len(c) < min(langid.CENTROIDS, len(mine)):
+            c.append(min(mine, key=lambda v: max(dot(v, x) for x in c)))
+        for _ in range(20):
+            own = [max(range(len(c)), key=lambda j: dot(v, c[j])) for v in mine]
+            for j in range(len(c)):
+                part = [v for v, o in zip(mine, own, strict=True) if o == j]
+                if part:
+                    total = [sum(x) for x in zip(*part, strict=True)]
+                    size = math.sqrt(sum(x * x for x in total))
+                    c[j] = [x / size for x in total]
+        centroids += [(lang, x) for x in c]
+    assert {g for g, _ in centroids} >= {"en", "es"}
+    got = defaultdict(list)
+    for r in langid.report(table(rows)).collect():
+        got[r["doc_id"]].append(r)
+    for d, t, *_ in rows:
+        found = plain_counts(t)
+        v = found and unit(found)
+        near = [(dot(v, x), g) for g, x in centroids] if v else []
+        for r in got[d]:
+            if len(got[d]) == 1:
+                assert r["lang_pred"] == (max(near, key=lambda n: n[0])[1] if near else "und") and math.isclose(r["score"], max(near)[0] if near else 0, abs_tol=1e-5)
+
+
+def test_every_language_is_learned_and_repeated_rows_count_once(spark, table, monkeypatch):
+    rows = [(k, "lang" + chr(97 + k % 26) * 3 + chr(97 + k // 26 % 26) * 2, f"l{k}") for k in range(1, 700) if zlib.crc32(str(k).encode()) % 5]
+    sizes = []
+    monkeypatch.setattr(langid, "train", lambda found, lang: sizes.append((len(found), len(set(lang)))) or langid.Model())
+    langid.fit(table(rows + [rows[0]] * 50))
+    assert sizes == [(len(rows), len(rows))]
+
+
 def test_clusters_are_separate():
     r = np.random.default_rng(1)
     x = np.concatenate([np.eye(20)[k] + r.normal(0, 0.02, (30, 20)) for k in range(3)])
@@ -433,6 +500,60 @@ def test_toxicity_without_labels(table, spark):
     assert toxicity.report(table([]), labels).isEmpty()
 
 
+def test_one_class_labels_odd_columns_and_repeated_ids(table, spark):
+    all_bad = spark.createDataFrame([(k, 1, 1) for k in range(30)], "doc_id long, quality int, toxic int")
+    docs = table([(k, f"text {k}") for k in range(30)] + [(3, "other")] * 40 + [(4, None)], clash=False).selectExpr("*", "map('a', 1) AS `my col`", "1 AS `x.y`", "2 AS score")
+    assert {(r["score"], r["predicted"]) for r in toxicity.report(docs, all_bad).collect()} == {(1.0, 1)}
+    all_good = all_bad.selectExpr("doc_id", "quality", "0 AS toxic")
+    out = toxicity.keep_clean(docs, all_good)
+    assert out.dtypes == docs.dtypes and out.count() == docs.count()
+    assert toxicity.keep_clean(docs, all_bad).isEmpty()
+
+
+def plain_trees(x, y, trees, depth, rate, bins, ridge):
+    """Newton boosting with every split tried by plain sums."""
+    edges = [sorted(set(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1]).tolist())) for f in range(x.shape[1])]
+    rate_of = min(max(float(np.mean(y)), 1e-3), 1 - 1e-3)
+    margin = [math.log(rate_of / (1 - rate_of))] * len(y)
+    for _ in range(trees):
+        p = [1 / (1 + math.exp(-m)) for m in margin]
+        g, h = [t - q for t, q in zip(y, p, strict=True)], [q * (1 - q) for q in p]
+
+        def leaf(rows, g=g, h=h):
+            return rate * sum(g[k] for k in rows) / (sum(h[k] for k in rows) + ridge)
+
+        def split(rows, level, g=g, h=h):
+            best = (1e-3, None, None)
+            gs, hs = sum(g[k] for k in rows), sum(h[k] for k in rows)
+            for f in range(x.shape[1] if level < depth and len(rows) >= 20 else 0):
+                for cut in edges[f]:
+                    left = [k for k in rows if x[k, f] <= cut]
+                    gl, hl = sum(g[k] for k in left), sum(h[k] for k in left)
+                    if hl >= 0.5 and hs - hl >= 0.5:
+                        gain = gl**2 / (hl + ridge) + (gs - gl) ** 2 / (hs - hl + ridge) - gs**2 / (hs + ridge)
+                        if gain > best[0] + 1e-12:
+                            best = (gain, f, cut)
+            if best[1] is None:
+                return [(rows, leaf(rows))]
+            return split([k for k in rows if x[k, best[1]] <= best[2]], level + 1) + split([k for k in rows if x[k, best[1]] > best[2]], level + 1)
+
+        for rows, value in split(list(range(len(y))), 0):
+            for k in rows:
+                margin[k] += value
+    return np.array(margin)
+
+
+def test_trees_equal_plain_boosting(monkeypatch):
+    monkeypatch.setattr(toxicity, "TREES", 4)
+    monkeypatch.setattr(toxicity, "BINS", 12)
+    r = np.random.default_rng(9)
+    x = np.round(r.normal(size=(250, 5)), 3)
+    y = ((x[:, 0] + x[:, 1] * x[:, 2] + r.normal(0, 0.3, 250)) > 0.4).astype(float)
+    base, split, cut, value = toxicity.grow(x, y)
+    got = toxicity.Model({}, base, split, cut, value).margin(x)
+    assert np.allclose(got, plain_trees(x, y, 4, toxicity.DEPTH, toxicity.RATE, 12, toxicity.RIDGE), atol=1e-9)
+
+
 def test_isotonic_fit_rises_and_averages():
     r = np.random.default_rng(3)
     x = r.normal(size=500)
