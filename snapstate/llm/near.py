@@ -10,29 +10,35 @@ Documents with equal sets are one node. First, each node of a bucket (the nodes
 bucket's smallest node; that joins most of a group of copies of any size with one row per member. Then only buckets
 with nodes of more than one component are left, and in each the nodes outside its first component meet all others,
 block against block: sketches find the pairs that may be links, from the likeliest on, and the full sets confirm
-those whose ends are not joined yet. A pair is tried in the first bucket it shares only. What a block returns are links that
-join something, fewer than its nodes, however many pairs it looks at; so no pair is lost to a cap and none is written
-in vain.
+those whose ends are not joined yet. Nodes meet only those of their own or a neighbouring class of sizes (powers of
+1 / THRESHOLD), which splits large buckets further. A pair is tried in the first bucket it shares only. What a block
+returns are links that join something, fewer than its nodes, however many pairs it looks at; so no pair is lost to a
+cap and none is written in vain. A bucket of n nodes, m of them outside, costs up to n * m comparisons of sketches,
+dealt over blocks: that is the price of an exact answer for a band key that very many unlike documents share.
 
-With 32 bands of 4, a pair at exactly 0.75 shares no band with probability 5e-6, and fails the screen with 3e-6.
+With 32 bands of 4, a pair at exactly 0.75 shares no band with probability 5e-6, and fails the screen with 3e-6. Sets
+are told apart by 128-bit hashes, and so are rows (md5 of doc_id and text); shingles by 64-bit hashes.
 
 Defined cases: null texts and texts without words have empty sets, no links, and are kept; repeated rows (of one text
-or one doc_id) are rows of their own, and one row of each component is kept: that with the smallest doc_id (nulls
-last); an empty table gives an empty result; other columns, whatever their names, are carried by keep_one().
+or one doc_id) are rows of their own; component_id is the smallest doc_id of a component, null if it has none, and
+report() gives kept = (doc_id = component_id), while keep_one() keeps exactly one row of each component, with the
+smallest doc_id (nulls last); an empty table gives an empty result; other columns, whatever their names or types, are
+carried by keep_one() and ignored by report().
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_kept, groups_of, keep, packed, settle, whole_text, with_group
+from .common import content_order, drop_kept, groups_of, keep, packed, settle, whole_text, with_group
 from .components import components
 from .exact import bloom_filter, flag_members
 
@@ -107,9 +113,13 @@ def most_flips(similarity: float) -> int:
     return int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - similarity) / SKETCH_BITS)))
 
 
+def _row_key() -> Column:
+    return F.unhex(content_order())
+
+
 def sketch_table(docs: DataFrame) -> DataFrame:
-    """A row per row of docs: tag (unique), doc_id, text_hash, n_shingles, digest, keys, odd."""
-    schema = pa.schema([("tag", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())), ("odd", pa.list_(pa.int64()))])
+    """A row per row of docs: tag (unique), doc_id, row_key (of doc_id and text), n_shingles, digest, keys, odd."""
+    schema = pa.schema([("tag", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.binary()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())), ("odd", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -125,8 +135,8 @@ def sketch_table(docs: DataFrame) -> DataFrame:
             columns = [b.column(0), b.column(1), b.column(2), *(pa.array(c, f.type) for c, f in zip((n, digest, keys, odd), list(schema)[3:], strict=True))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("tag"), F.col("doc_id").cast("long"), F.xxhash64(whole_text()).alias("text_hash"), F.encode(whole_text(), "utf-8").alias("text"))
-    return rows.mapInArrow(run, "tag long, doc_id long, text_hash long, n_shingles long, digest binary, keys array<long>, odd array<long>")
+    rows = docs.select(F.monotonically_increasing_id().alias("tag"), F.col("doc_id").cast("long"), _row_key().alias("row_key"), F.encode(whole_text(), "utf-8").alias("text"))
+    return rows.mapInArrow(run, "tag long, doc_id long, row_key binary, n_shingles long, digest binary, keys array<long>, odd array<long>")
 
 
 def _dealt(pairs: DataFrame) -> DataFrame:
@@ -156,9 +166,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         hashes, gid, held = WordHashes(), None, []
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for k in range(batch.num_rows):
-                at, role, node = (batch.column(c)[k].as_py() for c in range(3))
-                found = shingles(batch.column(3)[k].as_py(), hashes)
+            for at, role, node, text in zip(*(batch.column(c).to_numpy().tolist() for c in range(3)), batch.column(3), strict=True):
+                found = shingles(text.as_py(), hashes)
                 if at != gid:
                     gid, held = at, []
                 if role == 0:
@@ -217,18 +226,21 @@ def _joining(members: DataFrame, nodes: DataFrame, labels: DataFrame, texts: Dat
     """Links a, b between nodes of one bucket in different components, enough to join all that links join."""
     rows = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("comp", "node").alias("comp"))
     rows = with_group(rows, ["key"], ["node"], {"home": (F.min("comp"), "min"), "far": (F.max("comp"), "max")}, "home < far").drop("far")
-    rows = rows.join(nodes.select("node", "n_shingles", "odd", "keys"), "node").withColumn("out", F.col("comp") != F.col("home"))
-    outside = F.when(F.col("out"), F.col("n_shingles")).otherwise(0)
-    rows = with_group(rows, ["key"], ["node"], {"n": (F.count("*"), "sum"), "n_out": (F.sum(F.col("out").cast("long")), "sum"), "s": (F.sum("n_shingles"), "sum"), "s_out": (F.sum(outside), "sum")})
+    rows = rows.join(nodes.select("node", "n_shingles", "odd", "keys"), "node")
+    rows = rows.withColumn("size", F.floor(F.log("n_shingles") / math.log(100 / THRESHOLD)).cast("int"))  # the sizes of links differ by one class at most
+    mine = rows.withColumn("asks", F.lit(0))
+    asks = rows.where(F.col("comp") != F.col("home")).withColumns({"size": F.explode(F.array(*[F.col("size") + k for k in (-1, 0, 1)])), "asks": F.lit(1)})
+    count = {"n": (F.sum(1 - F.col("asks")), "sum"), "n_out": (F.sum("asks"), "sum"), "s": (F.sum((1 - F.col("asks")) * F.col("n_shingles")), "sum"), "s_out": (F.sum(F.col("asks") * F.col("n_shingles")), "sum")}
+    count |= {"low": (F.min("node"), "min"), "high": (F.max("node"), "max")}
+    rows = with_group(mine.unionByName(asks), ["key", "size"], ["node"], count, "n > 0 AND n_out > 0 AND low < high")
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
     outs = F.greatest(F.ceil(F.col("n_out") / BLOCK), F.ceil(F.col("s_out") / BLOCK_SHINGLES)).cast("int")
     rows = rows.withColumns({"i": F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int"), "j": F.pmod(F.xxhash64("node", F.lit(1)), outs.cast("long")).cast("int")})
     upto = lambda n: F.sequence(F.lit(0), n - 1)
-    mine = rows.withColumns({"jj": F.explode(upto(outs)), "ii": F.col("i"), "asks": F.lit(False)})
-    asks = rows.where("out").withColumns({"ii": F.explode(upto(blocks)), "jj": F.col("j"), "asks": F.lit(True)})
-    small = F.transform("keys", lambda x: F.shiftright(x, 32).cast("int"))
-    cells = mine.unionByName(asks).groupBy("key", "ii", "jj", "node").agg(*[F.first(c).alias(c) for c in ("band", "comp", "n_shingles", "odd", "keys")], F.max(F.when(~F.col("asks"), True)).alias("own"), F.max(F.when(F.col("asks"), True)).alias("ask"))
-    cells = cells.join(texts, "node").select(F.xxhash64("key", "ii", "jj").alias("cell"), "band", "node", "comp", "n_shingles", "odd", small.alias("keys"), F.coalesce("own", F.lit(False)).alias("own"), F.coalesce("ask", F.lit(False)).alias("ask"), "text")
+    mine = rows.where("asks = 0").withColumns({"jj": F.explode(upto(outs)), "ii": F.col("i")})
+    asks = rows.where("asks = 1").withColumns({"ii": F.explode(upto(blocks)), "jj": F.col("j")})
+    cells = mine.unionByName(asks).groupBy("key", "size", "ii", "jj", "node").agg(*[F.first(c).alias(c) for c in ("band", "comp", "n_shingles", "odd", "keys")], F.max(F.col("asks") == 0).alias("own"), F.max(F.col("asks") == 1).alias("ask"))
+    cells = cells.join(texts, "node").select(F.xxhash64("key", "size", "ii", "jj").alias("cell"), "band", "node", "comp", "n_shingles", "odd", "keys", "own", "ask", "text")
     cells = cells.repartition("cell").sortWithinPartitions("cell", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,19 +265,19 @@ def _joining(members: DataFrame, nodes: DataFrame, labels: DataFrame, texts: Dat
 
 
 def assigned(docs: DataFrame) -> DataFrame:
-    """A row per row of docs: tag, doc_id, text_hash, n_shingles, component_id, group_size, kept."""
+    """A row per row of docs: tag, doc_id, row_key, n_shingles, component_id, group_size, kept (one of each component)."""
     sketches = keep(sketch_table(docs), "sketches")
-    empty = sketches.where("n_shingles = 0").select("tag", "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
+    empty = sketches.where("n_shingles = 0").select("tag", "doc_id", "row_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     rows_in = sketches.count()
     grouped = keep(with_group(sketches.where("n_shingles > 0"), ["digest"], ["tag"], {"node": (F.min("tag"), "min")}), "nodes", rows_in)
     nodes = grouped.where("tag = node")
 
     buckets = nodes.select(F.posexplode("keys").alias("band", "key"), "node")
-    members = keep(with_group(buckets, ["key"], ["node"], {"n": (F.count("*"), "sum"), "first": (F.min("node"), "min")}, "n > 1").select("key", "band", "node", "first"), "members", BANDS * rows_in, 400_000)
+    members = keep(with_group(buckets, ["key"], ["node"], {"n": (F.count("*"), "sum"), "first": (F.min("node"), "min")}, "n > 1").select("key", "band", "node", "first"), "members", BANDS * rows_in, 100_000)
     pairs = members.where("node > first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
-    asked = keep(members.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash"), "node").withColumn("sha", F.xxhash64("doc_id", "text_hash")), "asked", rows_in)
-    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(whole_text())).alias("sha"), F.encode(whole_text(), "utf-8").alias("text"))
+    asked = keep(members.select("node").distinct().join(nodes.select("node", F.col("row_key").alias("sha")), "node"), "asked", rows_in)
+    rows = docs.select(_row_key().alias("sha"), F.encode(whole_text(), "utf-8").alias("text"))
     n_asked = asked.count()
     rows = flag_members(rows, bloom_filter(asked, n_asked, at_least=1)).where("_maybe")
     texts = keep(rows.join(asked.select("sha", "node"), "sha").groupBy("sha").agg(F.first("node").alias("node"), F.first("text").alias("text")).drop("sha"), "texts", n_asked, 5_000)
@@ -277,10 +289,10 @@ def assigned(docs: DataFrame) -> DataFrame:
     labels = components(links)
     settle(docs.sparkSession)
 
-    whole = grouped.select("tag", "doc_id", "text_hash", "n_shingles", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    whole = grouped.select("tag", "doc_id", "row_key", "n_shingles", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     best = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
     whole = with_group(whole, ["comp"], ["tag"], {"best": (F.min(best), "min"), "group_size": (F.count("*"), "sum")})
-    whole = whole.select("tag", "doc_id", "text_hash", "n_shingles", F.col("best.doc_id").alias("component_id"), "group_size", (F.col("best.tag") == F.col("tag")).alias("kept"))
+    whole = whole.select("tag", "doc_id", "row_key", "n_shingles", F.col("best.doc_id").alias("component_id"), "group_size", (F.col("best.tag") == F.col("tag")).alias("kept"))
     out = keep(whole.unionByName(empty), "near", rows_in)
     for table in (sketches, grouped, members, asked, texts):
         drop_kept(table)
@@ -289,14 +301,14 @@ def assigned(docs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
-    return assigned(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    return assigned(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with the columns of docs. Only rows of components with several rows are joined."""
     found = assigned(docs)
-    shared = found.where("group_size > 1").withColumn("sha", F.xxhash64("doc_id", "text_hash"))
-    rows = docs.select(packed(docs).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(whole_text())).alias("sha"))
+    shared = found.where("group_size > 1").withColumnRenamed("row_key", "sha")
+    rows = docs.select(packed(docs).alias("_row"), _row_key().alias("sha"))
     flagged = flag_members(rows, bloom_filter(shared, shared.count(), at_least=1))
     gone = shared.groupBy("sha").agg(F.max("kept").alias("_kept"))
     tested = flagged.where("_maybe").join(gone, "sha", "left").where(F.coalesce("_kept", F.lit(True)))

@@ -152,7 +152,7 @@ def check_near(table, rows):
     got = near.report(table(rows)).collect()
     want = Counter((r[0], len(s), least[g]) for r, s, g in zip(rows, sets, group, strict=True))
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
-    assert sum(r["kept"] for r in got) == len(set(group))
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
     return got
 
 
@@ -160,6 +160,46 @@ def test_near_odd_rows(table, odd_rows):
     check_near(table, odd_rows)
 
 
+def test_near_repeated_ids_and_any_columns(table):
+    rows = [(1, words(30, 1)), (1, words(30, 1)), (2, words(30, 1)), (None, words(30, 1)), (None, words(9, 5)), (None, words(9, 5)), (1, words(30, 6))]
+    check_near(table, rows)
+    docs = table(rows, clash=False).selectExpr("*", "map('a', 1) AS `my col`", "1 AS sha", "2 AS `x.y`")
+    out = near.keep_one(docs)
+    assert out.dtypes == docs.dtypes and sorted((r["doc_id"] or 0, r["n_chars"]) for r in out.collect()) == sorted([(1, len(words(30, 1))), (1, len(words(30, 6))), (0, len(words(9, 5)))])
+
+
+def test_near_large_buckets_of_unlike_documents(table, monkeypatch):
+    """One key for all in the first band, with blocks of a few nodes: every pair is still met."""
+    monkeypatch.setattr(near, "BLOCK", 3)
+    real = near.band_keys
+
+    def band_keys(mins):
+        out = real(mins)
+        out[0] = 1
+        return out
+
+    rows = [(k, edited(words(60 + 25 * (k // 6 % 5), k // 6), 0.01 * (k % 4), k)) for k in range(48)]
+    sets, group, least = brute_near(rows)
+    texts = [t.encode() for _, t in rows]
+    found = [near.shingles(t, near.WordHashes()) for t in texts]
+    keys = np.stack([band_keys(near.min_hashes(f)) for f in found]).view(np.int64)
+    spark = table([]).sparkSession
+    nodes = spark.createDataFrame([(k, len(f), near.odd_sketch(near.min_hashes(f)).view(np.int64).tolist(), keys[k].tolist()) for k, f in enumerate(found)], "node long, n_shingles long, odd array<long>, keys array<long>")
+    members = nodes.select(F.lit(1).cast("long").alias("key"), F.lit(0).alias("band"), "node")
+    labels = spark.createDataFrame([], "node long, comp long")
+    links = near._joining(members, nodes, labels, spark.createDataFrame(list(enumerate(texts)), "node long, text binary")).collect()
+    root = {k: k for k in range(len(rows))}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    assert [top(k) for k in range(len(rows))] == group and len(set(group)) < 40
+
+
 def edited(text, share, seed):
     r = random.Random(seed)
     return " ".join(f"edit{r.randrange(10**6)}" if r.random() < share else w for w in text.split())
@@ -212,7 +252,7 @@ def test_block_links_join_all_with_few_links():
     hashes = near.WordHashes()
     sets = [near.shingles(t, hashes) for t in texts]
     mins = [near.min_hashes(s) for s in sets]
-    keys = np.stack([(near.band_keys(m) >> np.uint64(32)).astype(np.int64) for m in mins])
+    keys = np.stack([near.band_keys(m).view(np.int64) for m in mins])
     keys[:, 0] = 1  # all in one bucket of band 0
     n = np.array([len(s) for s in sets])
     rows = np.arange(len(sets))
