@@ -6,18 +6,25 @@ its anchor: the GRAM-byte piece of it with the smallest hash. Equal strings have
 strings with one anchor makes a context, up to 168 bytes, about one for each 35 bytes of text.
 
 1. Grams that anchor only once in the corpus are ruled out by counting hashes, with a Bloom filter for the test.
-2. Of equal contexts all but the earliest are repeated outright: only hashes travel, and those of a context that is
-   everywhere meet in their batches first.
-3. What is left are different contexts around one gram, such as the ends of a passage that documents share. Their
-   texts are dealt into shards; each builds a suffix array (Larsson-Sadakane refinement), common prefixes (Kasai, one
-   lane per context) and so finds the equal strings. A gram with very many contexts is dealt over several shards, and
-   the sorted strings of those shards are then merged by binary search.
-4. Spans are joined to the documents.
+2. Equal contexts become one entry of a dictionary, as the phrases do in prefix-free parsing of texts: only hashes
+   travel, and those of a context that is everywhere meet in their batches first. All of an entry but its earliest
+   place is repeated whatever the suffix arrays say, since their strings would be equal one by one.
+3. The dictionary's entries around one gram, such as the ends of a passage that documents share, are dealt into shards,
+   a gram with more than SHARD of them into several. Each shard builds a suffix array of its entries' texts
+   (Larsson-Sadakane refinement) and common prefixes (Kasai, one lane per context), which tell the equal strings.
+4. Of a gram in several shards, each shard hands on its sorted run of first strings, as bytes. The runs are cut at the
+   same strings (a range partition), and the parts of a range are merged two by two: a run finds its places in the
+   other by binary search, and of equal strings the earlier stays.
+5. Spans are joined to the documents that have any; the others pass straight through.
+
+Equality of contexts is equality of 128 bits of hashes (64 of the gram, 64 of four 64-byte pieces that cover the
+context, its length and its anchor's place); strings in suffix arrays and runs are compared byte by byte.
 
 Documents are ordered by doc_id (null first), then by a hash of the text. Defined cases: rows equal in doc_id and
 text are one document and get equal results; a null text counts as empty; texts shorter than SPAN bytes keep all; very
-long texts are cut into overlapping pieces of PIECE bytes for the search, which loses no string; an empty table gives
-an empty result; other columns are ignored.
+long texts are cut into overlapping pieces of PIECE bytes for the search, which loses no string (the contexts and spans
+of one document, fewer than one for each 30 of its bytes, do meet in one row beside its text); an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +42,8 @@ from .exact import bloom_filter, flag_members
 
 SPAN, GRAM = 100, 32
 WINDOW = SPAN - GRAM + 1  # grams in a string
-PIECE, SHARD, HOT = 1 << 20, 3_000, 3_000  # bytes of a piece; contexts of a shard, and of a gram in one shard
-CELL = 50_000  # strings that are merged at a time
+PIECE, SHARD = 1 << 20, 3_000  # bytes of a piece; contexts of a shard
+RANGE = 50_000  # strings of a range whose runs are merged in one task
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << k, 1 << 64)) for k in range(7)]
 _BYTE = np.random.default_rng(7).integers(0, 1 << 63, 257, np.uint64) * np.uint64(2) + np.uint64(1)
 _U = np.uint64
@@ -140,7 +147,9 @@ def _contexts(docs: DataFrame) -> DataFrame:
             if found:
                 columns = [np.concatenate(x) for x in zip(*found, strict=True)]
                 kept, again = _in_batch(*columns[:5])
-                yield pa.RecordBatch.from_arrays([*[pa.array(c[kept]) for c in columns], pa.array(again)], names)
+                columns = [c[kept] for c in columns]
+                columns[1] = np.where(again, 0, columns[1])  # a settled row is not compared any more
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(again)], names)
 
     return docs.select("d", "th", "text").mapInArrow(run, "gram long, context long, d long, th long, lo long, hi long, again boolean")
 
@@ -263,9 +272,9 @@ def earliest(group: np.ndarray, d: np.ndarray, th: np.ndarray, start: np.ndarray
 
 
 def _sharded(rows: DataFrame) -> DataFrame:
-    """From contexts with cell, hot, d, th, lo, bytes: spans (d, th, a, b), and where hot the strings still first in
-    their shard (d, th, a and the halves w1, w2 of the string's hash)."""
-    names = ["d", "th", "a", "b", "w1", "w2", "cell"]
+    """From contexts with cell, wide, d, th, lo, bytes: spans (d, th, a, b), and of grams in several shards (wide) the
+    strings still first in their shard (d, th, a, cell and the string s), sorted."""
+    names = ["d", "th", "a", "b", "cell", "s"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups_of(batches, "cell"):
@@ -275,41 +284,69 @@ def _sharded(rows: DataFrame) -> DataFrame:
             start = lo[context] + place - offset[context]
             first = earliest(group, d[context], th[context], start)
             spans = runs(d[context[~first]], th[context[~first]], start[~first])
-            none = np.zeros(len(spans[0]), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*spans, none, none, none)], names)
-            left = first & t.column("hot").to_numpy()[context]
-            if left.any():
-                _, h64 = rolling(codes)
-                at = context[left]
-                one, two = mixed(h64[place[left]]), mixed(h64[place[left] + SPAN - 64])
-                cell = np.full(len(at), t.column("cell")[0].as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (d[at], th[at], start[left], np.full(len(at), -1), one.view(np.int64), two.view(np.int64), cell)], names)
-
-    return rows.mapInArrow(run, "d long, th long, a long, b long, w1 long, w2 long, cell long")
-
-
-def _merged(strings: DataFrame, cells: int) -> DataFrame:
-    """Spans of the strings that are first in their shard but not over all shards of their gram. Strings are dealt by
-    hash; each shard's sorted run finds its places among all by binary search."""
+            none = len(spans[0])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, spans), pa.array(np.zeros(none, np.int64)), pa.nulls(none, pa.binary())], names)
+            left = np.flatnonzero(first & t.column("wide").to_numpy()[context])
+            cell = t.column("cell")[0].as_py()
+            for at in range(0, len(left), 10_000):
+                part = left[at : at + 10_000]
+                strings = (codes[place[part][:, None] + np.arange(SPAN)] - 1).astype(np.uint8)
+                held = context[part]
+                yield pa.RecordBatch.from_arrays([pa.array(d[held]), pa.array(th[held]), pa.array(start[part]), pa.array(np.full(len(part), -1)), pa.array(np.full(len(part), cell)), pa.array(list(map(bytes, strings)), pa.binary())], names)
+
+    return rows.mapInArrow(run, "d long, th long, a long, b long, cell long, s binary")
+
+
+def merge_runs(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], rank: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Two sorted runs, each of distinct strings and the rows they stand for, as one; and the rows that go, as an equal
+    string of smaller rank stays. The shorter run is searched in the longer."""
+    (x, own), (y, more) = (one, two) if len(one[0]) >= len(two[0]) else (two, one)
+    if not len(y):
+        return (x, own), more
+    at = np.searchsorted(x, y)
+    hit = np.minimum(at, len(x) - 1)
+    same = x[hit] == y
+    hit, rows = hit[same], more[same]
+    earlier = rank[rows] < rank[own[hit]]
+    gone = np.where(earlier, own[hit], rows)
+    own = own.copy()
+    own[hit[earlier]] = rows[earlier]
+    return (np.insert(x, at[~same], y[~same]), np.insert(own, at[~same], more[~same])), gone
+
+
+def _merged(strings: DataFrame, ranges: int) -> DataFrame:
+    """Spans of the strings that are first in their shard but not over all shards of their gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in groups_of(batches, "part"):
-            d, th, a, one, two, shard = (t.column(c).to_numpy() for c in ("d", "th", "a", "w1", "w2", "cell"))
-            word = np.empty(len(one), [("x", np.int64), ("y", np.int64)])
-            word["x"], word["y"] = one, two
-            all_words = np.unique(word)
-            group = np.empty(len(one), np.int64)
-            for s in np.unique(shard):
-                mine = np.flatnonzero(shard == s)
-                group[mine] = np.searchsorted(all_words, word[mine])
-            spans = runs(*(x[~earliest(group, d, th, a)] for x in (d, th, a)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in spans], ["d", "th", "a", "b"])
-
-    dealt = strings.withColumn("part", F.pmod("w1", F.lit(cells))).select("part", "d", "th", "a", "w1", "w2", "cell")
-    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(run, "d long, th long, a long, b long")
-
-
-def repeated_spans(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        d, th, a, cell = (t.column(c).to_numpy() for c in ("d", "th", "a", "cell"))
+        rank = np.empty(len(d), np.int64)
+        rank[np.lexsort((a, th, d))] = np.arange(len(d))
+        words = np.frombuffer(b"".join(t.column("s").to_pylist()), f"S{SPAN}")
+        cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(cell)]
+        waiting = [(words[x:y], np.arange(x, y)) for x, y in zip(cuts, cuts[1:], strict=False)]
+        gone = []
+        while len(waiting) > 1:
+            pairs = [merge_runs(x, y, rank) for x, y in zip(waiting[::2], waiting[1::2], strict=False)]
+            gone += [g for _, g in pairs]
+            waiting = [m for m, _ in pairs] + waiting[len(pairs) * 2 :]
+        later = np.concatenate([*gone, np.zeros(0, np.int64)]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in runs(d[later], th[later], a[later])], ["d", "th", "a", "b"])
+
+    cut = strings.select("d", "th", "a", "cell", "s").repartitionByRange(ranges, "s").sortWithinPartitions("cell", "s")
+    return cut.mapInArrow(run, "d long, th long, a long, b long")
+
+
+def _members(docs: DataFrame, of: DataFrame) -> DataFrame:
+    """docs with _maybe: false only where (d, th) surely is not in the stored table `of`."""
+    keys = keep(of.select(F.xxhash64("d", "th").alias("sha")).distinct(), "members")
+    return flag_members(docs.withColumn("sha", F.xxhash64("d", "th")), bloom_filter(keys, keys.count(), at_least=1)).drop("sha")
+
+
+def repeated_spans(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """A stored table of spans (d, th, a, b) to remove, not yet merged, of docs with d, th and text as bytes."""
     spark = docs.sparkSession
     counted = keep(_grams(docs).groupBy("gram").count().where("count > 1").select(F.col("gram").alias("sha")), "grams")
@@ -332,18 +369,18 @@ def repeated_spans(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataF
     if not total:
         return keep(spans, "spans")
     shards = -(-total // shard)
-    sub = F.pmod(F.xxhash64("d", "th", "lo"), F.ceil(F.col("n") / hot))
-    cell = F.when(F.col("n") > hot, F.xxhash64("gram", sub)).otherwise(F.pmod(F.xxhash64("gram"), F.lit(shards)))
-    listed = left.select("d", "th", F.struct(cell.alias("cell"), (F.col("n") > hot).alias("hot"), "lo", "hi").alias("c")).groupBy("d", "th").agg(F.collect_list("c").alias("cs"))
-    cut = listed.join(docs, ["d", "th"]).select("d", "th", F.explode("cs").alias("c"), "text")
-    rows = cut.select("c.cell", "c.hot", "d", "th", "c.lo", F.substring("text", (F.col("c.lo") + 1).cast("int"), (F.col("c.hi") - F.col("c.lo") + SPAN).cast("int")).alias("bytes"))
+    sub = F.pmod(F.xxhash64("d", "th", "lo"), F.ceil(F.col("n") / shard))
+    cell = F.when(F.col("n") > shard, F.xxhash64("gram", sub)).otherwise(F.pmod(F.xxhash64("gram"), F.lit(shards)))
+    listed = left.select("d", "th", F.struct(cell.alias("cell"), (F.col("n") > shard).alias("wide"), "lo", "hi").alias("c")).groupBy("d", "th").agg(F.collect_list("c").alias("cs"))
+    cut = listed.join(_members(docs, left).where("_maybe"), ["d", "th"]).select("d", "th", F.explode("cs").alias("c"), "text")
+    rows = cut.select("c.cell", "c.wide", "d", "th", "c.lo", F.substring("text", (F.col("c.lo") + 1).cast("int"), (F.col("c.hi") - F.col("c.lo") + SPAN).cast("int")).alias("bytes"))
     out = keep(_sharded(rows.repartition("cell").sortWithinPartitions("cell")), "shards")
     settle(spark)
     strings = out.where("b < 0")
     more = out.where("b >= 0").select("d", "th", "a", "b")
     n_strings = strings.count()
     if n_strings:
-        more = more.unionByName(_merged(strings, -(-n_strings // CELL)))
+        more = more.unionByName(_merged(strings, -(-n_strings // RANGE)))
     spans = keep(spans.unionByName(more), "spans")
     for table in (firsts, left, out):
         drop_kept(table)
@@ -359,8 +396,10 @@ def _cut(docs: DataFrame, body, schema: str, **sizes: int) -> DataFrame:
     keyed = _keyed(docs)
     spans = repeated_spans(keyed.select("d", "th", "text"), **sizes)
     listed = spans.groupBy("d", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    flagged = _members(keyed, spans)
     settle(docs.sparkSession)
-    return keyed.join(listed, ["d", "th"], "left").select("doc_id", "text", "spans").mapInArrow(body, schema)
+    without = flagged.where(~F.col("_maybe")).select("doc_id", "text", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("spans"))
+    return without.unionByName(flagged.where("_maybe").join(listed, ["d", "th"], "left").select("doc_id", "text", "spans")).mapInArrow(body, schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

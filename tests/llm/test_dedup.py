@@ -285,12 +285,45 @@ def suffix_tie(text):
     return int(np.uint64(xxhash.xxh64(text.encode(), 42).intdigest()).view(np.int64))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"shard": 20, "hot": 5}])
-def test_suffix_removal(table, odd_rows, sizes):
+def test_sorted_runs_are_merged_by_binary_search():
+    r = random.Random(6)
+    pool = [bytes(r.choice(b"\x00ab\xff") for _ in range(100)) for _ in range(60)]
+    rank = np.array(r.sample(range(1000), 1000))
+    runs, who = [], 0
+    for _ in range(9):
+        mine = sorted(r.sample(pool, r.randrange(0, 40)))
+        runs.append((np.array(mine, "S100"), np.arange(who, who + len(mine))))
+        who += len(mine)
+    gone, merged = [], runs[0]
+    for two in runs[1:]:
+        merged, more = suffix.merge_runs(merged, two, rank)
+        gone += more.tolist()
+    least = {}
+    for words_, rows in runs:
+        for w, k in zip(words_.tolist(), rows.tolist(), strict=True):
+            least[w] = min(least.get(w, k), k, key=lambda x: rank[x])
+    assert merged[0].tolist() == sorted(least) and dict(zip(merged[0].tolist(), merged[1].tolist(), strict=True)) == least
+    assert sorted(gone) == sorted(set(range(who)) - set(least.values()))
+
+
+def test_repeated_ids_with_other_texts_are_documents_of_their_own(table):
+    rows = [(7, words(40, 1)), (7, words(40, 1) + " x"), (None, words(40, 1)), (None, "y " + words(40, 1)), (7, words(40, 1))]
+    got = suffix.report(table(rows)).collect()
+    want = brute_spans(rows)
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == Counter((r[0], *want[r[0], r[1]]) for r in rows)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"shard": 5}])
+def test_suffix_removal(table, odd_rows, sizes, monkeypatch):
+    monkeypatch.setattr(suffix, "RANGE", 50)
+    merges = []
+    real = suffix._merged
+    monkeypatch.setattr(suffix, "_merged", lambda strings, ranges: merges.append(ranges) or real(strings, ranges))
     passage, other = words(40, 8), words(30, 9)
     rows = [*odd_rows, *[(100 + k, f"{words(15, 40 + k)} {passage} {words(15, 90 + k)} {other if k % 2 else ''}") for k in range(30)], (200, "ab" * 400), (201, "ba" * 150 + passage[:99]), (202, passage[:100]), (203, "é" * 120)]
     got = suffix.report(table(rows), **sizes).collect()
     want = brute_spans(rows)
+    assert bool(merges) == bool(sizes) and all(m > 1 for m in merges)  # grams of several shards are merged over several ranges
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == Counter((r[0], *want[r[0], r[1] or ""]) for r in rows)
 
 
