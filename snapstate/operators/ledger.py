@@ -128,6 +128,17 @@ class Timer:
         self.seconds, self.completed_at = time.perf_counter() - self.began, now()
 
 
+def environment(spark: SparkSession) -> str:
+    """Where the session runs: local, or the kind of its cluster manager."""
+    master = spark.sparkContext.master
+    return "local" if master.startswith("local") else master.partition("://")[0].partition("[")[0]
+
+
+def job_facts(spark: SparkSession) -> dict[str, str]:
+    """Names that a run is known by."""
+    return {"environment": environment(spark), "job_name": spark.sparkContext.appName, "cluster_name": spark.sparkContext.master, "execution_engine": f"spark {spark.version}", "hostname": socket.gethostname(), "user_name": getpass.getuser(), "framework_version": VERSION}
+
+
 class Audit:
     def __init__(self, store: Store, pipeline: str, run_id: str, execution_id: str, kind: str = "incremental_batch"):
         self.spark, self.table = store.spark, store.log("audit", AUDIT)
@@ -137,7 +148,7 @@ class Audit:
         at = now()
         zero = dict.fromkeys(("retry_count", "rows_read", "rows_written", "rows_rejected", "rows_skipped", "files_processed"), 0)
         text = {f.name: "" for f in AUDIT if isinstance(f.dataType, T.StringType)}
-        where = {"environment": "local", "execution_engine": f"spark {self.spark.version}", "hostname": socket.gethostname(), "user_name": getpass.getuser(), "framework_version": VERSION, "schema_version": VERSION, "execution_mode": "batch", "trigger_type": "manual"}
+        where = job_facts(self.spark) | {"schema_version": VERSION, "execution_mode": "batch", "trigger_type": "manual"}
         failed = {"error_type": type(error).__name__, "error_message": str(error)[:4000]} if error else {}
         return text | zero | where | self.common | {"stage": stage, "status": status, "started_at": started_at, "completed_at": at, "created_at": at, "duration_seconds": float(seconds), "metadata": json.dumps(dict(metadata or {}), sort_keys=True, default=str)} | failed | more
 
@@ -184,7 +195,7 @@ class SchemaHistory:
 
 class Quarantine:
     def __init__(self, store: Store, pipeline: str):
-        self.pipeline, self.table = pipeline, store.log("quarantine")
+        self.pipeline, self.table = pipeline, store.log("quarantine", partition_by=["_snapshot_day", "stage"])
 
     def exists(self) -> bool:
         return self.table.exists()
@@ -192,6 +203,10 @@ class Quarantine:
     def add(self, rows: DataFrame, code: str, stage: str, batch_id: str | None = None) -> None:
         self.table.append(quarantined(rows, code, self.pipeline, batch_id, stage))
 
+    def replace(self, rejected: DataFrame, rows: int, day: int, stage: str) -> None:
+        """Makes rejected rows, `rows` of them, those of a day and stage; what an earlier attempt left goes."""
+        self.table.replace_partition(rejected, rows, _snapshot_day=day, stage=stage)
+
     def read(self) -> DataFrame:
         return self.table.read()
 
@@ -203,10 +218,20 @@ def error_record(stage: str, error: BaseException, pipeline: str | None = None,
 
 
 class Metrics(dict):
-    """Named counters, and free values beside them."""
+    """Named counters, and free values beside them; `rates` of rows against seconds where both are known."""
 
     def add(self, name: str, by: int = 1) -> None:
         self[name] = self.get(name, 0) + by
 
+    def reset(self) -> None:
+        self.clear()
+
+    def time(self, seconds: float) -> None:
+        self["execution_seconds"] = self.get("execution_seconds", 0.0) + seconds
+
+    def rates(self) -> dict[str, float]:
+        seconds = self.get("execution_seconds", 0.0)
+        return {f"{k}_per_second": v / seconds for k, v in self.items() if seconds and "rows" in k}
+
     def summary(self) -> str:
         return ", ".join(f"{k}={v}" for k, v in sorted(self.items()))

@@ -1,8 +1,9 @@
 """The daily run: bronze, silver, gold and validation for each pending snapshot, day by day, in one session.
 
 Each stage reads its input once and writes once; row counts come from observations on those writes. Re-running is
-safe: bronze replaces the day's partition, the state is written as a new version, and files that already succeeded
-are skipped.
+safe after a failure at any point: bronze, quarantine and reconciliation replace the day's partition, and the state's
+new version is shown last, with the day's source and counts in its marker. A rerun that finds its source there does not
+merge again, but writes the ledgers from the counts that the marker has. Files that already succeeded are skipped.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ from ..functions.layout import range_layout
 from ..functions.predicates import required_missing
 from ..operators import changes, kpi
 from ..operators.ingest import conform, name_drift, stamped
-from ..operators.ledger import Audit, Control, Quarantine, SchemaHistory, Timer, error_record, gate_on, now, one_row
+from ..operators.ledger import Audit, Control, Metrics, Quarantine, SchemaHistory, Timer, error_record, gate_on, now, one_row
 from ..operators.quality import quarantined, verdicts
+from ..functions.preview import preview
 from ..operators.reconcile import conserve, row_of
 from ..operators.validate import Report, validate
 from ..schemas import DQ_DUPLICATE, DQ_INVALID, DQ_REQUIRED, RECONCILIATION, SUCCESS, TELEMETRY, RuleSet
 from ..sources.landing import read_landing, snapshot_days
-from ..sources.snapshots import Shape, write_days
+from ..sources.snapshots import Shape, clean_days, write_days, write_next_day
 from ..sources.store import Folder, Store
 
 log = logging.getLogger("snapstate")
@@ -53,7 +55,8 @@ class Pipeline:
         self.history, self.quarantine = SchemaHistory(self.store), Quarantine(self.store, settings.pipeline)
         self.bronze = self.store.log("bronze", partition_by=["_snapshot_day"])
         self.silver, self.gold = self.store.state("silver"), self.store.state("gold")
-        self.recon = self.store.log("reconciliation", RECONCILIATION)
+        self.recon = self.store.log("reconciliation", RECONCILIATION, ["snapshot_day"])
+        self.metrics = Metrics()
 
     def _stage(self, stage: str, source: str, day: int, body: Callable[[], dict[str, int]]) -> str:
         self.control.start(stage, source, snapshot_date=str(day))
@@ -67,8 +70,11 @@ class Pipeline:
             error_record(stage, error, self.settings.pipeline, self.control.run_id)
             raise
         known = {k: counts.get(k, 0) for k in ("rows_read", "rows_written", "rows_rejected", "rows_skipped")}
+        for name, n in known.items():
+            self.metrics.add(f"{stage}_{name}", n)
         self.audit.write(stage=stage, status=SUCCESS, started_at=timer.started_at, seconds=timer.seconds, metadata=counts, source_file=source, snapshot_day=day, files_processed=1, **known)
         self.control.finish(stage, source, known["rows_read"], known["rows_written"], known["rows_skipped"])
+        write_report(self.spark, self.settings.path("reports"), f"{stage}_status", {"stage": stage, "status": SUCCESS, "source_file": source, "rows": known["rows_written"]})
         return SUCCESS
 
     def run_bronze(self, raw: DataFrame, source: str, day: int) -> dict[str, int]:
@@ -85,9 +91,10 @@ class Pipeline:
         total, bad = seen.get["n"], seen.get["missing"]
         if kept.get["n"] == 0:  # a dynamic overwrite of nothing leaves the day's old partition
             self.bronze.folder.delete(f"_snapshot_day={day}")
-        if bad:
-            self.quarantine.table.append(quarantined(typed.where(missing), DQ_REQUIRED, self.settings.pipeline, self.control.run_id, "bronze"))
         conserve("bronze", total, kept.get["n"], bad)
+        rejected = quarantined(typed.where(missing), DQ_REQUIRED, self.settings.pipeline, self.control.run_id, "bronze")
+        self.quarantine.replace(rejected, bad, day, "bronze")
+        self.store.register("bronze")
         return {"rows_read": total, "rows_written": kept.get["n"], "rows_rejected": bad}
 
     def run_silver(self, source: str, day: int) -> dict[str, int]:
@@ -96,20 +103,24 @@ class Pipeline:
         rows = self.bronze.read().where(F.col("_snapshot_day") == day) if self.bronze.exists() else None
         if rows is None:
             raise FileNotFoundError("bronze has no rows")
-        seen, classes = Observation(), Observation()
-        judged = verdicts(rows, rules).observe(seen, F.count("*").alias("n"), F.count_if(F.col("_dq") == DQ_INVALID).alias("invalid"), F.count_if(F.col("_dq") == DQ_DUPLICATE).alias("duplicates"))
-        prior = self.silver.read() if self.silver.exists() else None
-        clean = judged.where("_dq is null").drop("_dq")
-        self.silver.commit(changes.apply_snapshot(clean, prior, rules, classes))
-        gate, found = seen.get, classes.get
-        if gate["invalid"] + gate["duplicates"]:
-            bad = verdicts(rows, rules).where("_dq is not null")
-            self.quarantine.table.append(quarantined(bad, F.col("_dq"), self.settings.pipeline, self.control.run_id, "silver_dq_gate").drop("_dq"))
-        done = found["new"] + found["changed"] + found["unchanged"]
-        conserve("silver", gate["n"], done, gate["invalid"], gate["duplicates"])
-        landing = gate["n"]
-        self.last_recon = row_of(self.control.run_id, day, prior is not None, landing, gate["n"], gate, found)
-        self.recon.append(one_row(self.spark, RECONCILIATION, self.last_recon | {"run_ts": now()}))
+        note = self.silver.note()
+        done_before = note.get("source") == source
+        if done_before:  # the version was shown, but the stage did not finish
+            gate, found, had_prior = note["gate"], note["found"], note["had_prior"]
+        else:
+            seen, classes = Observation(), Observation()
+            judged = verdicts(rows, rules).observe(seen, F.count("*").alias("n"), F.count_if(F.col("_dq") == DQ_INVALID).alias("invalid"), F.count_if(F.col("_dq") == DQ_DUPLICATE).alias("duplicates"))
+            had_prior = self.silver.exists()
+            version = self.silver.stage(changes.apply_snapshot(judged.where("_dq is null").drop("_dq"), self.silver.read() if had_prior else None, rules, classes))
+            gate, found = seen.get, classes.get
+        conserve("silver", gate["n"], found["new"] + found["changed"] + found["unchanged"], gate["invalid"], gate["duplicates"])
+        bad = quarantined(verdicts(rows, rules).where("_dq is not null"), F.col("_dq"), self.settings.pipeline, self.control.run_id, "silver_dq_gate").drop("_dq")
+        self.quarantine.replace(bad, gate["invalid"] + gate["duplicates"], day, "silver_dq_gate")
+        self.last_recon = row_of(self.control.run_id, day, had_prior, gate["n"], gate["n"], gate, found)
+        self.recon.replace_partition(one_row(self.spark, RECONCILIATION, self.last_recon | {"run_ts": now()}), 1, snapshot_day=day)
+        if not done_before:
+            self.silver.publish(version, {"source": source, "day": day, "gate": gate, "found": found, "had_prior": had_prior})
+        self.store.register("silver")
         return {"rows_read": gate["n"], "rows_written": found["new"] + found["changed"], "rows_rejected": gate["invalid"] + gate["duplicates"], "rows_skipped": found["unchanged"], "merged": found["merged"]}
 
     def run_gold(self) -> dict[str, int]:
@@ -119,6 +130,7 @@ class Pipeline:
         seen, made = Observation(), Observation()
         out = kpi.machine_kpi(state.observe(seen, F.count("*").alias("n")), self.rules)
         self.gold.commit(range_layout(out, self.rules.group).observe(made, F.count("*").alias("n")))
+        self.store.register("gold")
         return {"rows_read": max(seen.get["n"], made.get["n"]), "rows_written": made.get["n"]}
 
     def run_day(self, day: int, path: str, start: str = "bronze", only: str | None = None) -> DayResult:
@@ -145,6 +157,7 @@ class Pipeline:
             elif before != "gold" or result.status.get("gold") != "SKIPPED":
                 result.report = validate(self.store, self.control.run_id, day, source)
                 result.status[stage] = SUCCESS if result.report.passed else "FAILED"
+                write_report(self.spark, self.settings.path("reports"), "validation_report", json.loads(result.report.as_json()) | {"run_id": self.control.run_id, "snapshot_day": day})
             before = stage
         if result.status.get("gold") == SUCCESS:
             self.control.set_watermark(str(day))
@@ -168,11 +181,7 @@ def write_report(spark: SparkSession, path: str, name: str, data: object) -> str
     """Writes data as JSON through the store's file system."""
     folder = Folder(spark, path)
     folder.make()
-    out = folder._fs.create(folder._of(f"{folder.path}/{name}.json"), True)
-    try:
-        out.write(bytearray(json.dumps(data, indent=2, default=str), "utf-8"))
-    finally:
-        out.close()
+    folder.write_text(f"{name}.json", json.dumps(data, indent=2, default=str))
     return f"{folder.path}/{name}.json"
 
 
@@ -181,7 +190,8 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description=main.__doc__)
     ap.add_argument("base_path")
     ap.add_argument("--config")
-    ap.add_argument("--generate", type=int, metavar="DAYS", help="write this many snapshot days first")
+    ap.add_argument("--generate", type=int, metavar="DAYS", help="write this many snapshot days first, in place of those there")
+    ap.add_argument("--day", type=int, metavar="N", help="write the snapshot of one day first, from the one before it")
     ap.add_argument("--rows", type=int, default=20_000, help="rows of a generated snapshot")
     ap.add_argument("--from", dest="start", choices=STAGES, default="bronze")
     ap.add_argument("--only", choices=("generate", *STAGES))
@@ -189,11 +199,18 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("snapstate").getOrCreate()
     settings = Settings.load(a.config, a.base_path) if a.config else Settings(a.base_path)
     if a.generate:
+        clean_days(spark, settings.path("landing"))
         write_days(spark, settings.path("landing"), range(a.generate), Shape(rows=a.rows))
+    if a.day is not None:
+        write_next_day(spark, settings.path("landing"), a.day, Shape(rows=a.rows))
     if a.only == "generate":
         return 0
-    results = Pipeline(spark, settings).run_pending(a.start, a.only)
-    write_report(spark, settings.path("reports"), "pipeline_execution_report", [{"day": r.day, "status": r.status, "reconciliation": r.recon} for r in results])
+    pipeline = Pipeline(spark, settings)
+    results = pipeline.run_pending(a.start, a.only)
+    write_report(spark, settings.path("reports"), "pipeline_execution_report", {"days": [{"day": r.day, "status": r.status, "reconciliation": r.recon} for r in results], "metrics": pipeline.metrics})
+    if pipeline.gold.exists():
+        log.info("machines with most faults\n%s", preview(kpi.top(pipeline.gold.read(), "fault_events", 10, list(pipeline.rules.group))))
+    log.info(pipeline.metrics.summary())
     return int(any("FAILED" in r.status.values() for r in results))
 
 

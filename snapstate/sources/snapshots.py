@@ -11,6 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import Folder
+
+SEQUENCE = "_next_reading_id"
 #: Fault slots (20 of 25 healthy) and the shape of readings and churn.
 HEALTHY_SLOTS = 20
 FAULTS = ("F101_LOW_FUEL", "F204_ENGINE_TEMP", "F310_HYDRAULIC", "F450_GPS_LOSS", "F512_PAYLOAD_OVERLOAD")
@@ -64,8 +67,7 @@ def readings(spark: SparkSession, machines: DataFrame, day: int, start: int, row
     n = machines.count()
     ids = spark.range(start, start + rows).select(F.col("id").alias("reading_id"), F.pmod("id", F.lit(max(1, n))).alias("slot"))
     rid = F.col("reading_id")
-    slot = F.floor(_unit("fault", shape.seed, rid) * (HEALTHY_SLOTS + len(FAULTS))).cast("int")
-    fault = F.when(slot < HEALTHY_SLOTS, F.lit("NONE")).otherwise(F.element_at(F.array(*map(F.lit, FAULTS)), F.greatest(slot - HEALTHY_SLOTS + 1, F.lit(1))))
+    fault = _fault("fault", shape.seed, rid)
     stamp = F.date_format(F.timestamp_seconds(F.lit(1781395200 + 86400 * day) + F.pmod(rid * 37, F.lit(86400))), "yyyy-MM-dd'T'HH:mm:ss")
     return ids.join(machines, "slot").select(
         "reading_id", "customer_id", "machine_id", stamp.alias("event_ts"), F.round(F.col("base_lat") + 0.02 * (_unit("jlat", shape.seed, rid) - 0.5), 6).alias("gps_lat"), F.round(F.col("base_lon") + 0.02 * (_unit("jlon", shape.seed, rid) - 0.5), 6).alias("gps_lon"),
@@ -73,16 +75,27 @@ def readings(spark: SparkSession, machines: DataFrame, day: int, start: int, row
     )
 
 
+def churned(previous: DataFrame, arrivals: DataFrame, gone: Column, hit: Column, fixes: dict[str, Column]) -> DataFrame:
+    """The next day's rows: those `gone` leave, those `hit` get the fixed values, the arrivals are added."""
+    kept = previous.where(~gone)
+    return kept.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in fixes.items()}).unionByName(arrivals)
+
+
+def _fault(purpose: str, seed: int, *on: Column) -> Column:
+    slot = F.floor(_unit(purpose, seed, *on) * (HEALTHY_SLOTS + len(FAULTS))).cast("int")
+    return F.when(slot < HEALTHY_SLOTS, F.lit("NONE")).otherwise(F.element_at(F.array(*map(F.lit, FAULTS)), F.greatest(slot - HEALTHY_SLOTS + 1, F.lit(1))))
+
+
 def churn(previous: DataFrame, arrivals: DataFrame, day: int, shape: Shape = Shape()) -> DataFrame:
     """The next day's snapshot: some rows corrected in their tracked columns, some gone, the arrivals added."""
     rid = F.col("reading_id")
-    kept = previous.where(_unit(f"age{day}", shape.seed, rid) >= shape.aged_out)
-    hit = _unit(f"fix{day}", shape.seed, rid) < shape.corrected
-    fixed = kept.withColumns({
-        "fuel_level": F.when(hit, F.round(F.least(F.greatest(F.col("fuel_level") + 10 * (_unit(f"fa{day}", shape.seed, rid) - 0.5), F.lit(FUEL[2])), F.lit(FUEL[3])), FUEL[4])).otherwise(F.col("fuel_level")),
-        "payload_weight_t": F.when(hit, F.round(F.least(F.greatest(F.col("payload_weight_t") + 4 * (_unit(f"pa{day}", shape.seed, rid) - 0.5), F.lit(PAYLOAD[2])), F.lit(PAYLOAD[3])), PAYLOAD[4])).otherwise(F.col("payload_weight_t")),
-    })
-    return fixed.unionByName(arrivals)
+
+    def moved(column: str, purpose: str, by: float, limits: tuple) -> Column:
+        jitter = by * (_unit(f"{purpose}{day}", shape.seed, rid) - 0.5)
+        return F.round(F.least(F.greatest(F.col(column) + jitter, F.lit(limits[2])), F.lit(limits[3])), limits[4])
+
+    fixes = {"fuel_level": moved("fuel_level", "fa", 10, FUEL), "payload_weight_t": moved("payload_weight_t", "pa", 4, PAYLOAD), "fault_code": _fault(f"ff{day}", shape.seed, rid)}
+    return churned(previous, arrivals, _unit(f"age{day}", shape.seed, rid) < shape.aged_out, _unit(f"fix{day}", shape.seed, rid) < shape.corrected, fixes)
 
 
 def next_reading(snapshot: DataFrame) -> int:
@@ -101,8 +114,35 @@ def snapshot(spark: SparkSession, day: int, shape: Shape = Shape()) -> DataFrame
     return out
 
 
+def clean_days(spark: SparkSession, folder: str) -> None:
+    """Removes the snapshots of a landing folder, and the stored sequence."""
+    landing = Folder(spark, folder)
+    for name in landing.names():
+        if name.startswith("snapshot_day") or name == SEQUENCE:
+            landing.delete(name)
+
+
+def write_next_day(spark: SparkSession, folder: str, day: int, shape: Shape = Shape()) -> None:
+    """Writes one day's snapshot from the stored one of the day before (day 0 from nothing). The next free reading_id is
+    kept beside the snapshots; where that file is missing, it is found in the snapshot."""
+    landing, machines, base = Folder(spark, folder), roster(spark, shape), folder.rstrip("/")
+    landing.make()
+    if day == 0:
+        out, seq = readings(spark, machines, 0, 1, shape.rows, shape), shape.rows + 1
+    else:
+        names = {"reading_id": "long", "gps_lat": "double", "gps_lon": "double", "fuel_level": "double", "payload_weight_t": "double"}
+        before = spark.read.option("header", True).csv(f"{base}/snapshot_day{day - 1}.csv")
+        before = before.select(*[F.col(c).cast(names[c]) if c in names else F.col(c) for c in before.columns])
+        start = int(landing.read_text(SEQUENCE)) if landing.exists(SEQUENCE) else next_reading(before)
+        extra = round(shape.rows * shape.new)
+        out, seq = churn(before, readings(spark, machines, day, start, extra, shape), day, shape), start + extra
+    out.write.mode("overwrite").option("header", True).csv(f"{base}/snapshot_day{day}.csv")
+    landing.write_text(SEQUENCE, str(seq))
+
+
 def write_days(spark: SparkSession, folder: str, days: range, shape: Shape = Shape()) -> None:
-    """Writes each day as a header CSV folder snapshot_day{N}.csv, and the roster beside them."""
+    """Writes each day as a header CSV folder snapshot_day{N}.csv, and the roster and the next reading_id beside them."""
     for d in days:
         snapshot(spark, d, shape).write.mode("overwrite").option("header", True).csv(f"{folder.rstrip('/')}/snapshot_day{d}.csv")
+        Folder(spark, folder).write_text(SEQUENCE, str(shape.rows + 1 + d * round(shape.rows * shape.new)))
     roster(spark, shape).drop("slot").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder.rstrip('/')}/machine_roster.csv")

@@ -1,20 +1,23 @@
 """Tables over plain Parquet: versioned state with snapshot swap, and append tables with schema evolution.
 
 A StateTable's version is a folder v=N with a marker written after its data; readers take the highest marked version,
-so a swap is one small file and a failed write leaves nothing visible. One writer at a time is assumed. Paths go
-through Hadoop's file systems, so any store that Spark reads will do.
+so a swap is one small file and a failed write leaves nothing visible. Writing (stage) and showing (publish) are two
+steps, and the marker carries a note, so that what belongs to a version can be written in between and told after a
+failure. An AppendTable keeps its schema in a file beside its data: reads need no footers. One writer at a time is
+assumed. Paths go through Hadoop's file systems, so any store that Spark reads will do.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARKER = "_COMMITTED"
+MARKER, SCHEMA = "_COMMITTED", "_SCHEMA"
 
 
 class Folder:
@@ -34,8 +37,19 @@ class Folder:
     def make(self) -> None:
         self._fs.mkdirs(self._of(self.path))
 
-    def touch(self, name: str) -> None:
-        self._fs.create(self._of(f"{self.path}/{name}"), True).close()
+    def write_text(self, name: str, text: str) -> None:
+        out = self._fs.create(self._of(f"{self.path}/{name}"), True)
+        try:
+            out.write(bytearray(text, "utf-8"))
+        finally:
+            out.close()
+
+    def read_text(self, name: str) -> str:
+        got = self._fs.open(self._of(f"{self.path}/{name}"))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(got, "UTF-8")
+        finally:
+            got.close()
 
     def delete(self, name: str) -> None:
         self._fs.delete(self._of(f"{self.path}/{name}"), True)
@@ -62,17 +76,29 @@ class StateTable:
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
         return self.read() if self.exists() else self.spark.createDataFrame([], schema)
 
-    def commit(self, df: DataFrame) -> int:
-        """Writes df as the next version, which may read the current one, then shows it."""
+    def stage(self, df: DataFrame) -> int:
+        """Writes df, which may read the current version, as the next one, not yet shown."""
         known = self.versions()
         nxt = known[-1] + 1 if known else 0
         self.folder.delete(f"v={nxt}")  # what a failed write left
         df.write.parquet(f"{self.path}/v={nxt}")
-        self.folder.touch(f"v={nxt}/{MARKER}")
-        for old in known[: max(0, len(known) + 1 - self.keep_versions)]:
-            self.folder.delete(f"v={old}")
         return nxt
 
+    def publish(self, version: int, note: Mapping[str, object] | None = None) -> int:
+        """Shows a staged version, with a note in its marker, and drops versions no longer kept."""
+        self.folder.write_text(f"v={version}/{MARKER}", json.dumps(dict(note or {}), sort_keys=True, default=str))
+        for old in self.versions()[: -self.keep_versions]:
+            self.folder.delete(f"v={old}")
+        return version
+
+    def note(self) -> dict[str, object]:
+        """The note of the current version."""
+        known = self.versions()
+        return json.loads(self.folder.read_text(f"v={known[-1]}/{MARKER}") or "{}") if known else {}
+
+    def commit(self, df: DataFrame, note: Mapping[str, object] | None = None) -> int:
+        return self.publish(self.stage(df), note)
+
     def rollback(self) -> int:
         """Hides the newest version; the one before it becomes current."""
         known = self.versions()
@@ -90,6 +116,20 @@ class AppendTable:
     def exists(self) -> bool:
         return any("=" in n or not n.startswith(("_", ".")) for n in self.folder.names())
 
+    def stored_schema(self) -> T.StructType | None:
+        """The columns of all writes so far, by the file beside the data."""
+        return T.StructType.fromJson(json.loads(self.folder.read_text(SCHEMA))) if self.folder.exists(SCHEMA) else None
+
+    def _record(self, df: DataFrame) -> None:
+        """Adds columns that the table did not have. It is written before the data: a column without data reads null."""
+        known = self.stored_schema()
+        names = [] if known is None else known.names
+        if fresh := [f for f in df.schema if f.name not in names]:
+            fields = [T.StructField(f.name, f.dataType) for f in [*(known or []), *fresh]]
+            last = set(self.partition_by)
+            self.folder.make()
+            self.folder.write_text(SCHEMA, T.StructType(sorted(fields, key=lambda f: f.name in last)).json())
+
     def _checked(self, df: DataFrame) -> DataFrame:
         """Parquet does not keep NOT NULL; declared columns are checked here, row by row as they are written."""
         if self.schema is None:
@@ -98,22 +138,35 @@ class AppendTable:
         return df.select(*[c.alias(f.name) for c, f in zip(cols, self.schema, strict=True)])
 
     def append(self, df: DataFrame) -> None:
+        self._record(df)
         self._checked(df).write.partitionBy(*self.partition_by).mode("append").parquet(self.path)
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Overwrites only the partitions that df has rows for: a repeated write leaves one copy."""
-        df.write.partitionBy(*self.partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
+        self._record(df)
+        self._checked(df).write.partitionBy(*self.partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
+
+    def replace_partition(self, df: DataFrame, rows: int, **values: object) -> None:
+        """Makes df, of `rows` rows, the content of one partition, also where it has none."""
+        if list(values) != self.partition_by:
+            raise ValueError(f"partitions of {self.path} are by {', '.join(self.partition_by)}")
+        if rows:
+            self.replace_partitions(df.withColumns({k: F.lit(v) for k, v in values.items()}))
+        else:
+            self.folder.delete("/".join(f"{k}={v}" for k, v in values.items()))
 
     def read(self) -> DataFrame:
+        known = self.schema or self.stored_schema()
         if not self.exists():
-            if self.schema is None:
+            if known is None:
                 raise FileNotFoundError(self.path)
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+            return self.spark.createDataFrame([], known)
+        return self.spark.read.schema(known).parquet(self.path) if known else self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
 
 class Store:
-    """Names the tables under one base path, or in a catalog database where one is given (read only there)."""
+    """Names the tables under one base path. With a catalog database, tables are registered there when they are written
+    (register) and read by name."""
 
     def __init__(self, spark: SparkSession, base: str, database: str | None = None):
         self.spark, self.base, self.database = spark, base.rstrip("/"), database
@@ -130,11 +183,41 @@ class Store:
     def log(self, name: str, schema: T.StructType | None = None, partition_by: Sequence[str] = ()) -> AppendTable:
         return AppendTable(self.spark, f"{self.base}/{name}", partition_by, schema)
 
+    def _named(self, name: str) -> str:
+        return f"`{self.database}`.`{name}`"
+
     def table_exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.database}.{name}") if self.database else Folder(self.spark, f"{self.base}/{name}").exists()
+        if self.database and self.spark.catalog.tableExists(f"{self.database}.{name}"):
+            return True
+        return self.state(name).exists() or self.log(name).exists()
+
+    def register(self, name: str) -> None:
+        """Points the catalog's table at what is now current; a no-op without a database. The old entry is external, so
+        dropping it deletes no data."""
+        if not self.database:
+            return
+        state = self.state(name)
+        path = f"{state.path}/v={state.versions()[-1]}" if state.exists() else self.log(name).path
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored(name).schema)
+        by = [] if state.exists() else [n for n in self._partitions(path)]
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._named(name)}")
+        self.spark.sql(f"CREATE TABLE {self._named(name)} ({columns}) USING parquet {'PARTITIONED BY (' + ', '.join(by) + ')' if by else ''} LOCATION '{path}'")
+        if by:
+            self.spark.sql(f"MSCK REPAIR TABLE {self._named(name)}")
+
+    def _partitions(self, path: str) -> list[str]:
+        """Partition columns by the first folder of each level."""
+        out, folder = [], Folder(self.spark, path)
+        while found := [n for n in folder.names() if "=" in n]:
+            out.append(found[0].partition("=")[0])
+            folder = Folder(self.spark, f"{folder.path}/{found[0]}")
+        return out
+
+    def _stored(self, name: str) -> DataFrame:
+        state = self.state(name)
+        return state.read() if state.exists() else self.log(name).read()
 
     def read(self, name: str) -> DataFrame:
-        if self.database:
+        if self.database and self.spark.catalog.tableExists(f"{self.database}.{name}"):
             return self.spark.table(f"{self.database}.{name}")
-        state = self.state(name)
-        return state.read() if state.exists() else self.log(name).read()
+        return self._stored(name)

@@ -162,6 +162,73 @@ def test_a_replayed_bronze_leaves_one_copy_and_failures_are_recorded(spark, tmp_
     assert p.control.last_status("bronze", "missing_day1.csv") is None
 
 
+class Crash(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("where", ["quarantine", "recon", "publish", "after"])
+def test_a_day_that_fails_between_its_writes_is_run_again_as_if_it_had_not(spark, tmp_path, monkeypatch, where):
+    land(tmp_path, 0, row(1), row(2), row(3))
+    land(tmp_path, 1, row(1), row(2, fuel=40), row(3, fuel=500), row(4), row(4, fuel=51), row("x"))
+    settings = Settings(str(tmp_path))
+    Pipeline(spark, settings).run_day(0, str(tmp_path / "landing" / "snapshot_day0.csv"))
+    broken = Pipeline(spark, settings)
+
+    def crash(*a, **k):
+        raise Crash
+
+    target = {"quarantine": (broken.quarantine, "replace"), "recon": (broken.recon, "replace_partition"), "publish": (broken.silver, "publish"), "after": (broken.control, "finish")}[where]
+    real = getattr(*target)
+    monkeypatch.setattr(*target, (lambda stage, *a: crash() if stage == "silver" else real(stage, *a)) if where == "after" else (lambda rows, n, day, stage: crash() if stage != "bronze" else real(rows, n, day, stage)) if where == "quarantine" else crash)
+    with pytest.raises(Crash):
+        broken.run_day(1, str(tmp_path / "landing" / "snapshot_day1.csv"))
+    again = Pipeline(spark, settings)
+    done = again.run_day(1, str(tmp_path / "landing" / "snapshot_day1.csv"))
+    assert set(done.status.values()) == {"SUCCESS"} | ({"SKIPPED"} if done.status["bronze"] == "SKIPPED" else set()), [c for c in done.report.checks if not c["passed"]]
+    r = again.recon.read().where("snapshot_day = 1").collect()
+    assert [(x["new_rows"], x["changed_rows"], x["unchanged_rows_skipped"], x["dq_dropped_rows"], x["reprocessing_reduction_pct"], x["run_id"]) for x in r] == [(1, 1, 1, 2, 60.0, again.control.run_id)]
+    assert sorted(x["error_code"] for x in again.quarantine.read().collect()) == ["DQ001", "DQ002", "DQ003"]
+    assert sorted((x["reading_id"], x["fuel_level"]) for x in again.silver.read().collect()) == [(1, 50.0), (2, 40.0), (3, 50.0), (4, 51.0)]
+    report = json.loads((tmp_path / "reports" / "validation_report.json").read_text())
+    assert report["status"] == "PASS" and report["snapshot_day"] == 1 and json.loads((tmp_path / "reports" / "gold_status.json").read_text())["status"] == "SUCCESS"
+
+
+def test_catalog_tables_follow_the_current_version(spark, tmp_path):
+    land(tmp_path, 0, row(1), row(2))
+    land(tmp_path, 1, row(1), row(3))
+    p = Pipeline(spark, Settings(str(tmp_path), database="cat_test"))
+    try:
+        p.run_pending()
+        assert p.store.read("silver").count() == 3 and spark.table("cat_test.gold").agg(F.sum("total_readings")).first()[0] == 3
+        assert spark.table("cat_test.bronze").where("_snapshot_day = 1").count() == 2 and p.store.table_exists("silver") and not p.store.table_exists("nope")
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS cat_test CASCADE")
+
+
+def test_generated_days_one_by_one(spark, tmp_path):
+    from snapstate.sources.snapshots import SEQUENCE, Shape, clean_days, write_next_day
+
+    shape, landing = Shape(customers=2, machines_low=2, machines_high=3, rows=400), str(tmp_path / "landing")
+    for day in range(2):
+        write_next_day(spark, landing, day, shape)
+    (tmp_path / "landing" / SEQUENCE).unlink()  # found again in the snapshot
+    write_next_day(spark, landing, 2, shape)
+    days = [{r["reading_id"]: r for r in read_landing(spark, f"{landing}/snapshot_day{d}.csv").collect()} for d in range(3)]
+    kept = [set(a) & set(b) for a, b in zip(days, days[1:], strict=False)]
+    assert all(len(b) == len(k) + 12 for k, b in zip(kept, days[1:], strict=True)) and max(map(int, days[2])) == 424
+    changed = [k for k in kept[0] if days[0][k] != days[1][k]]
+    assert 2 < len(changed) < 40 and any(days[0][k]["fault_code"] != days[1][k]["fault_code"] or days[0][k]["fuel_level"] != days[1][k]["fuel_level"] for k in changed)
+    clean_days(spark, landing)
+    assert snapshot_days(spark, landing) == {}
+
+
+def test_previews(spark):
+    from snapstate.functions.preview import preview
+
+    text = preview(spark.createDataFrame([(1, "a"), (None, "b" * 90)], "k int, v string"), 5, 10).splitlines()
+    assert text == ["k: int, v: string", "k | v", "1 | a", "  | bbbbbbbbbb"]
+
+
 def test_empty_state_never_overwrites_gold(spark, tmp_path):
     land(tmp_path, 0, row(1))
     p = Pipeline(spark, Settings(str(tmp_path)))
@@ -185,6 +252,7 @@ def test_stream_picks_up_new_files_once(spark, tmp_path):
 def test_settings(tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"pipeline": {"name": "p"}, "source": {"format": "csv", "options": {"delimiter": ";"}}, "paths": {"folders": {"gold": "au"}}}))
     s = Settings.load(tmp_path / "c.json", "/b/")
+    assert s.table("gold") == "gold" and Settings("x", database="d", tables={"gold": "au"}).table("gold") == "d.au"
     assert s.pipeline == "p" and s.path("gold") == "/b/au" and s.path("silver") == "/b/silver" and s.source_options == {"delimiter": ";"}
     with pytest.raises(KeyError):
         s.path("nope")
@@ -195,6 +263,10 @@ def test_latest_metrics_and_z_order(spark):
     m.add("rows", 2)
     m.add("rows")
     assert m.summary() == "rows=3"
+    m.time(2.0)
+    assert m.rates() == {"rows_per_second": 1.5}
+    m.reset()
+    assert not m
     e = spark.createDataFrame([("a", "STARTED", 1), ("a", "SUCCESS", 1), ("b", "FAILED", 2)], "k string, status string, updated_at int")
     assert {r["k"]: r["status"] for r in latest(e, ["k"]).collect()} == {"a": "SUCCESS", "b": "FAILED"}
     grid = spark.range(256).select((F.col("id") % 16).alias("x"), F.floor(F.col("id") / 16).alias("y"))
