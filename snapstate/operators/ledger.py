@@ -93,13 +93,20 @@ class Control:
         row = latest(self._of(stage, source_file), ["stage"]).select("status").first()
         return row["status"] if row else None
 
+    def _successes(self, stage: str) -> DataFrame:
+        rows = self.events.read().where((F.col("pipeline_name") == F.lit(self.pipeline)) & (F.col("stage") == F.lit(stage)) & (F.col("status") == SUCCESS))
+        return rows.select("source_file")
+
     def already_processed(self, stage: str, source_file: str) -> bool:
-        return not self._of(stage, source_file).where(F.col("status") == SUCCESS).isEmpty()
+        return not self._successes(stage).where(F.col("source_file") == F.lit(source_file)).isEmpty()
+
+    def processed(self, files: DataFrame, stage: str) -> DataFrame:
+        """Rows of files (source_file, ...) with a success of the stage; one semi join instead of a look-up each."""
+        return files.join(self._successes(stage), "source_file", "left_semi")
 
     def pending(self, files: DataFrame, stage: str) -> DataFrame:
-        """Rows of files (source_file, ...) without a success of the stage; one anti join instead of a look-up each."""
-        done = self.events.read().where((F.col("pipeline_name") == F.lit(self.pipeline)) & (F.col("stage") == F.lit(stage)) & (F.col("status") == SUCCESS))
-        return files.join(done.select("source_file"), "source_file", "left_anti")
+        """Rows of files (source_file, ...) without a success of the stage."""
+        return files.join(self._successes(stage), "source_file", "left_anti")
 
     def watermark(self) -> str | None:
         row = self.marks.read_or_empty(WATERMARK).where(F.col("pipeline_name") == F.lit(self.pipeline)).select("watermark").first()
@@ -172,9 +179,13 @@ class SchemaHistory:
         row = mine.agg(F.max_by(F.struct("version", "schema_hash", "schema_json"), "version").alias("v")).first()["v"]
         return row.asDict() if row else None
 
+    def next_versions(self) -> DataFrame:
+        """pipeline_name, stage, next_version of every history."""
+        return self.versions.read().groupBy("pipeline_name", "stage").agg((F.max("version") + 1).alias("next_version"))
+
     def next_version(self, pipeline: str, stage: str) -> int:
-        known = self.latest(pipeline, stage)
-        return 1 if known is None else known["version"] + 1
+        row = self.next_versions().where((F.col("pipeline_name") == F.lit(pipeline)) & (F.col("stage") == F.lit(stage))).first()
+        return row["next_version"] if row else 1
 
     def save(self, df: DataFrame, pipeline: str, stage: str, action: str = "EVOLVED") -> list[Drift]:
         """Adds a version if the schema differs from the last, and records how."""

@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import reduction_pct, required_missing
-from ..functions.schema import compare, schema_hash
+from ..functions.schema import schema_hash, types_of
 from ..operators import changes, kpi, ledger, quality, reconcile
 from ..operators.ingest import conform, split_required, stamped, uncastable
-from ..operators.validate import check_rows
-from ..schemas import CHANGED, NEW, UNCHANGED
+from ..operators.validate import check_rows, validate
+from ..schemas import CHANGED, CONTROL, NEW, SCHEMA_HISTORY, UNCHANGED
+from ..sources.landing import read_landing, snapshot_days
+from ..sources.snapshots import churned
+from . import lab
 from . import views as V
 from .views import COLUMNS, ROW, RULES, clean_sql, evolve_sql, holed_sql, snapshot_sql, state_sql
 
@@ -90,13 +93,33 @@ def q03_bronze_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("conserved", F.col("landing_rows") == F.col("bronze_rows") + F.col("quarantined_rows"))
 
 
-@query("SELECT * FROM (VALUES ('COLUMN_ADDED', 'o_channel', NULL, 'string'), ('COLUMN_REMOVED', 'o_orderpriority', 'string', NULL), ('TYPE_CHANGED', 'o_custkey', 'bigint', 'string')) t(change_type, column_name, old_type, new_type)")
-def q04_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = V.table(spark, sf_dir, "orders")
+#: Names of DuckDB's types in Spark.
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz"}
+
+
+def _types_sql(what: str) -> str:
+    """name and type of the columns of a table or select."""
+    kinds = " ".join(f"WHEN '{duck}' THEN '{spark}'" for duck, spark in _TYPES.items())
+    return f"SELECT column_name AS name, CASE column_type {kinds} ELSE column_type END AS type FROM (DESCRIBE {what})"
+
+
+_LATER = "SELECT * EXCLUDE (o_orderpriority) REPLACE (o_custkey::VARCHAR AS o_custkey), 'web' AS o_channel FROM orders"
+
+
+def _orders_history(spark: SparkSession, sf_dir: str) -> ledger.SchemaHistory:
+    """A stored history: orders, then with a column added, one removed and one of another type, then the same again."""
+    orders, history = V.table(spark, sf_dir, "orders"), ledger.SchemaHistory(lab.store(spark))
     later = orders.drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("string")).withColumn("o_channel", F.lit("web"))
-    types = lambda df: {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(d.change_type, d.column_name, d.old_type, d.new_type) for d in compare(types(orders), types(later))]
-    return spark.createDataFrame(rows, "change_type string, column_name string, old_type string, new_type string")
+    for df in (orders, later, later):
+        history.save(df, "sales", "bronze")
+    return history
+
+
+@query(f"""SELECT CASE WHEN a.name IS NULL THEN 'COLUMN_ADDED' WHEN b.name IS NULL THEN 'COLUMN_REMOVED' ELSE 'TYPE_CHANGED' END AS change_type, coalesce(a.name, b.name) AS column_name, a.type AS old_type, b.type AS new_type
+ FROM ({_types_sql("orders")}) a FULL OUTER JOIN ({_types_sql(_LATER)}) b ON a.name = b.name WHERE a.type IS DISTINCT FROM b.type""")
+def q04_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes that the stored history recorded."""
+    return _orders_history(spark, sf_dir).changes.read().select("change_type", "column_name", "old_type", "new_type")
 
 
 @query(f"SELECT {ROW} FROM ({clean_sql(holed_sql(snapshot_sql(1)))})")
@@ -297,21 +320,25 @@ _FILES = "SELECT DISTINCT 'snapshot_day' || (c_custkey % 90) || '.csv' AS source
 _DONE = f"SELECT source_file FROM ({_EVENTS}) WHERE stage = 'silver' AND status = 'SUCCESS' AND updated_at % 8 = 0"
 
 
-def _done(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _control(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ledger.Control]:
+    """Files, and a stored control ledger with the events of orders that divide by 8."""
     files = V.table(spark, sf_dir, "customer").select(F.concat(F.lit("snapshot_day"), F.col("c_custkey") % 90, F.lit(".csv")).alias("source_file")).distinct()
-    return files, _events(spark, sf_dir).where("stage = 'silver' AND status = 'SUCCESS' AND updated_at % 8 = 0").select("source_file")
+    control = ledger.Control(lab.store(spark), "telemetry")
+    rows = _events(spark, sf_dir).where("updated_at % 8 = 0").withColumns({c: F.lit("x") for c in ("pipeline_type", "execution_id", "execution_mode", "trigger_type")}).withColumn("updated_at", F.timestamp_seconds("updated_at"))
+    control.events.append(rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in CONTROL]))
+    return files, control
 
 
 @query(f"SELECT source_file FROM ({_FILES}) WHERE source_file NOT IN ({_DONE})")
 def q25_pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files, done = _done(spark, sf_dir)
-    return files.join(done, "source_file", "left_anti")
+    files, control = _control(spark, sf_dir)
+    return control.pending(files, "silver")
 
 
 @query(f"SELECT source_file FROM ({_FILES}) WHERE source_file IN ({_DONE})")
 def q26_already_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files, done = _done(spark, sf_dir)
-    return files.join(done, "source_file", "left_semi")
+    files, control = _control(spark, sf_dir)
+    return control.processed(files, "silver")
 
 
 @query("""SELECT pipeline_name, watermark FROM (SELECT 'pipeline' || (o_custkey % 20) AS pipeline_name, CAST(max(o_orderkey) AS VARCHAR) AS watermark FROM orders WHERE o_custkey % 2 = 1 GROUP BY 1)
@@ -338,7 +365,11 @@ def q29_quarantine_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("error_code").agg(F.count("*").alias("n"))
 
 
-@query("SELECT * FROM (VALUES ('silver has rows', true), ('silver keys are unique', true), ('gold has rows', true), ('gold readings equal silver rows', true), ('days conserve rows', true), ('no day failed', false)) t(check_name, passed)")
+@query(f"""WITH s AS ({state_sql(1)}), g AS (SELECT customer_id, machine_id, count(reading_id) AS n FROM s GROUP BY 1, 2)
+ SELECT 'silver has rows' AS check_name, (SELECT count(*) FROM s) > 0 AS passed UNION ALL SELECT 'silver keys are unique', (SELECT count(*) = count(DISTINCT reading_id) FROM s)
+ UNION ALL SELECT 'gold has rows', (SELECT count(*) FROM g) > 0 UNION ALL SELECT 'gold readings equal silver rows', (SELECT sum(n) FROM g) = (SELECT count(*) FROM s)
+ UNION ALL SELECT 'days conserve rows', (SELECT bool_and(total_rows_in_snapshot = new_rows + changed_rows + unchanged_rows_skipped + dq_dropped_rows) FROM ({_recon_sql(1)}))
+ UNION ALL SELECT 'no day failed', NOT EXISTS (SELECT 1 FROM ({_EVENTS}) WHERE upper(status) <> 'SUCCESS')""")
 def q30_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _base(spark, sf_dir)
     silver = _state(base, 1)
@@ -354,7 +385,10 @@ def q30_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q31_schema_next_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = V.table(spark, sf_dir, "orders")
     stage = F.element_at(F.array(*map(F.lit, ("bronze", "silver", "gold"))), (F.col("o_orderkey") % 3 + 1).cast("int"))
-    return o.groupBy(F.concat(F.lit("pipeline"), F.col("o_custkey") % 7).alias("pipeline_name"), stage.alias("stage")).agg((F.max(F.col("o_orderkey") % 50) + 1).alias("next_version"))
+    history = ledger.SchemaHistory(lab.store(spark))
+    rows = o.select(F.concat(F.lit("pipeline"), F.col("o_custkey") % 7).alias("pipeline_name"), stage.alias("stage"), (F.col("o_orderkey") % 50).alias("version"), F.lit("h").alias("schema_hash"), F.lit("{}").alias("schema_json"), F.current_timestamp().alias("recorded_at"))
+    history.versions.append(rows.select(*SCHEMA_HISTORY.names))
+    return history.next_versions()
 
 
 @query(f"""SELECT * FROM ({snapshot_sql(1)}) WHERE event_ts < '{V.CUTS[0]}' UNION ALL SELECT * FROM ({snapshot_sql(1)}) WHERE event_ts >= '{V.CUTS[0]}'""")
@@ -362,8 +396,8 @@ def q32_churn_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yesterday's rows, corrected and aged out, and the day's arrivals."""
     base = _base(spark, sf_dir)
     gone, fixed = F.col("reading_id") % 33 == 1, F.col("reading_id") % 25 == 1
-    carried = V.snapshot(base, 0).where(~gone).withColumn("fuel_level", F.when(fixed, F.col("fuel_level") + 1.5).otherwise(F.col("fuel_level"))).withColumn("_snapshot_day", F.lit(1))
-    return carried.unionByName(V.snapshot(base, 1).where(F.col("event_ts") >= V.CUTS[0]))
+    arrivals = V.snapshot(base, 1).where(F.col("event_ts") >= V.CUTS[0])
+    return churned(V.snapshot(base, 0), arrivals, gone, fixed, {"fuel_level": F.col("fuel_level") + 1.5}).withColumn("_snapshot_day", F.lit(1))
 
 
 @query(f"""SELECT m.customer_id, m.machine_id, r.reading_id, r.fuel_level, r.payload_weight_t, r.fault_code FROM (SELECT DISTINCT customer_id, machine_id FROM ({V.TELEMETRY_SQL})) m
@@ -405,7 +439,127 @@ def q38_reduction_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(reduction_pct(F.count_if(F.col("o_totalprice") > 100000), F.count("*")).alias("reduction_pct"))
 
 
-@query("SELECT 'customer' AS table_name, sha256('{\"c_acctbal\": \"double\", \"c_custkey\": \"bigint\", \"c_mktsegment\": \"string\", \"c_name\": \"string\", \"c_nationkey\": \"int\"}') AS schema_hash")
+_HASHED = ("customer", "orders", "lineitem", "events", "part")
+
+
+def _hash_sql(what: str) -> str:
+    return f"""(SELECT sha256('{{' || string_agg('"' || name || '": "' || type || '"', ', ' ORDER BY name) || '}}') FROM ({_types_sql(what)}))"""
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, {_hash_sql(t)} AS schema_hash" for t in _HASHED))
 def q39_schema_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = {f.name: f.dataType.simpleString() for f in V.table(spark, sf_dir, "customer").schema.fields}
-    return spark.createDataFrame([("customer", schema_hash(types))], "table_name string, schema_hash string")
+    return spark.createDataFrame([(t, schema_hash(types_of(V.table(spark, sf_dir, t)))) for t in _HASHED], "table_name string, schema_hash string")
+
+
+# Queries over a store that the daily run has written
+
+
+@query(f"SELECT {ROW}, 'depot' AS site FROM ({lab.landing_sql(1)})")
+def q40_landing_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file bound by header name, found by its day."""
+    settings = lab.ran(spark, sf_dir).settings
+    return conform(read_landing(spark, snapshot_days(spark, settings.path("landing"))[1], settings.source_options), RULES).select(*COLUMNS, "site")
+
+
+def _run_sql(day: int) -> str:
+    """Counts of a day of the stored run: landing, bronze, clean, invalid, duplicates, new, changed, unchanged, state."""
+    prior = f"SELECT * FROM ({lab.clean_sql(0)}) WHERE false" if day == 0 else lab.state_sql(day - 1)
+    kinds = V.evolve_sql(lab.clean_sql(day), prior)
+    return f"""SELECT {day} AS d, (SELECT count(*) FROM ({lab.landing_sql(day)})) AS landing, (SELECT count(*) FROM ({lab.landing_sql(day)}) WHERE customer_id IS NOT NULL) AS bronze,
+ (SELECT count(*) FROM ({lab.landing_sql(day)}) WHERE {V.VALID_SQL}) AS valid, (SELECT count(*) FROM ({lab.clean_sql(day)})) AS clean,
+ count(*) FILTER (_change_type = 'NEW') AS new, count(*) FILTER (_change_type = 'CHANGED') AS changed, count(*) FILTER (_change_type = 'UNCHANGED') AS unchanged, count(*) AS state FROM ({kinds})"""
+
+
+_RUN = " UNION ALL ".join(_run_sql(d) for d in range(lab.DAYS))
+
+
+@query(f"""SELECT d AS snapshot_day, bronze AS total_rows_in_snapshot, new AS new_rows, changed AS changed_rows, unchanged AS unchanged_rows_skipped, new + changed AS incremental_volume_processed,
+ CASE WHEN d > 0 THEN round((1.0::DOUBLE - (new + changed)::DOUBLE / bronze) * 100, 2) END AS reprocessing_reduction_pct, bronze - valid AS dq_invalid_rows, valid - clean AS dq_duplicate_rows, state AS merged_state_row_count, bronze = clean + (bronze - clean) AS row_conservation_passed FROM ({_RUN})""")
+def q41_stored_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = "total_rows_in_snapshot new_rows changed_rows unchanged_rows_skipped incremental_volume_processed reprocessing_reduction_pct dq_invalid_rows dq_duplicate_rows merged_state_row_count row_conservation_passed"
+    return lab.ran(spark, sf_dir).recon.read().select(F.col("snapshot_day").cast("int"), *names.split())
+
+
+@query(f"SELECT {ROW}, _snapshot_day FROM ({lab.state_sql(lab.DAYS - 1)})")
+def q42_stored_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.ran(spark, sf_dir).silver.read().select(*COLUMNS, "_snapshot_day")
+
+
+@query(f"SELECT {ROW}, _snapshot_day FROM ({lab.state_sql(lab.DAYS - 2)})")
+def q43_state_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version before the current one, still kept."""
+    silver = lab.ran(spark, sf_dir).silver
+    return silver.read(silver.versions()[-2]).select(*COLUMNS, "_snapshot_day")
+
+
+@query(f"SELECT k.*, true AS stamped FROM ({_KPI.format(lab.state_sql(lab.DAYS - 1))}) k")
+def q44_stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs, whose last ingestion time is the newest of the machine's rows."""
+    run = lab.ran(spark, sf_dir)
+    newest = run.silver.read().groupBy(*RULES.group).agg(F.max("_ingestion_ts").alias("at"))
+    rows = run.gold.read().join(newest, list(RULES.group)).withColumn("stamped", F.col("last_updated_ts") == F.col("at"))
+    return _rounded(rows.drop("last_updated_ts", "at"))
+
+
+@query(f"""SELECT * FROM (SELECT d AS _snapshot_day, 'bronze' AS stage, 'DQ001' AS error_code, landing - bronze AS n FROM ({_RUN}) UNION ALL SELECT d, 'silver_dq_gate', 'DQ002', bronze - valid FROM ({_RUN})
+ UNION ALL SELECT d, 'silver_dq_gate', 'DQ003', valid - clean FROM ({_RUN})) WHERE n > 0""")
+def q45_stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.ran(spark, sf_dir).quarantine.read().groupBy("_snapshot_day", "stage", "error_code").agg(F.count("*").alias("n"))
+
+
+_GOLD_ROWS = [f"(SELECT count(*) FROM (SELECT DISTINCT customer_id, machine_id FROM ({lab.state_sql(d)})))" for d in range(lab.DAYS)]
+_STAGES = f"""SELECT d, 'bronze' AS stage, landing AS rows_read, bronze AS rows_written, landing - bronze AS rows_rejected, 0 AS rows_skipped FROM ({_RUN})
+ UNION ALL SELECT d, 'silver', bronze, new + changed, bronze - clean, unchanged FROM ({_RUN})
+ UNION ALL SELECT d, 'gold', state, CASE d {' '.join(f'WHEN {d} THEN {sql}' for d, sql in enumerate(_GOLD_ROWS))} END, 0, 0 FROM ({_RUN})"""
+
+
+@query(f"SELECT 'snapshot_day' || d || '.csv' AS source_file, stage, 'SUCCESS' AS status, rows_read, rows_written, rows_skipped::BIGINT AS rows_skipped FROM ({_STAGES})")
+def q46_stored_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.ran(spark, sf_dir).control.current().select("source_file", "stage", "status", "rows_read", "rows_written", "rows_skipped")
+
+
+@query(f"SELECT d AS snapshot_day, stage, 'SUCCESS' AS status, rows_read::INTEGER AS rows_read, rows_written::INTEGER AS rows_written, rows_rejected::INTEGER AS rows_rejected, rows_skipped::INTEGER AS rows_skipped, 1 AS files_processed FROM ({_STAGES})")
+def q47_stored_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = lab.ran(spark, sf_dir)
+    return run.audit.of_run().select("snapshot_day", "stage", "status", "rows_read", "rows_written", "rows_rejected", "rows_skipped", "files_processed")
+
+
+_THERE = ("bronze", "silver", "gold", "reconciliation", "control", "audit", "schema_history")
+_CHECKS = " UNION ALL ".join([*(f"SELECT d, '{n} exists' AS check_name, landing > 0 AS passed FROM ({_RUN})" for n in _THERE), f"""SELECT d, unnest(['gold succeeded for this file', 'reconciliation row exists', 'audit rows exist', 'no audit failures', 'schema versions exist']), clean > 0 FROM ({_RUN})
+ UNION ALL SELECT d, 'rows written do not exceed rows read', rows_written <= rows_read FROM ({_STAGES}) WHERE stage = 'gold' UNION ALL SELECT d, 'row conservation', bronze = new + changed + unchanged + (bronze - valid) + (valid - clean) FROM ({_RUN})
+ UNION ALL SELECT d, 'quarantine matches drops', bronze - clean = (bronze - valid) + (valid - clean) FROM ({_RUN}) UNION ALL SELECT d, 'silver does not exceed bronze', (SELECT max(state) <= sum(bronze) FROM ({_RUN})) FROM ({_RUN})
+ UNION ALL SELECT d, 'silver has rows', state > 0 FROM ({_RUN}) UNION ALL SELECT d, 'gold has rows', state > 0 FROM ({_RUN})"""])
+
+
+@query(f"SELECT d AS snapshot_day, check_name, passed FROM ({_CHECKS})")
+def q48_stored_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation battery, run again on the store, for each day."""
+    run = lab.ran(spark, sf_dir)
+    rows = [(d, c["check_name"], c["passed"]) for d in range(lab.DAYS) for c in validate(run.store, run.control.run_id, d, f"snapshot_day{d}.csv").checks]
+    return spark.createDataFrame(rows, "snapshot_day int, check_name string, passed boolean")
+
+
+@query(f"SELECT 1::BIGINT AS version, {_hash_sql('orders')} AS schema_hash UNION ALL SELECT 2, {_hash_sql(_LATER)}")
+def q49_schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A schema saved twice is one version."""
+    return _orders_history(spark, sf_dir).versions.read().select("version", "schema_hash")
+
+
+@query(f"SELECT '{lab.DAYS - 1}' AS watermark, count(DISTINCT d) AS days, min(d) AS first_day FROM ({_RUN})")
+def q50_stored_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermark that the run left, beside the days that bronze holds as partitions."""
+    run = lab.ran(spark, sf_dir)
+    return run.bronze.read().agg(F.lit(run.control.watermark()).alias("watermark"), F.countDistinct("_snapshot_day").alias("days"), F.min("_snapshot_day").alias("first_day")).select("watermark", "days", "first_day")
+
+
+@query(f"SELECT 'CUST' || lpad(c::VARCHAR, 3, '0') AS customer_id, true AS slots_follow, true AS ids_follow, true AS size_fits FROM range(1, 26) t(c)")
+def q51_generated_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generator's roster and readings: ids in order, slots without a gap, 200 to 240 machines a customer."""
+    from ..sources.snapshots import Shape, readings, roster
+
+    shape = Shape(rows=12_000)
+    machines = roster(spark, shape)
+    own = machines.groupBy("customer_id").agg(F.count("*").alias("n"), (F.max("slot") - F.min("slot") + 1 == F.count("*")).alias("slots_follow"), (F.max(F.substring("machine_id", 7, 4).cast("int")) == F.count("*")).alias("ids"))
+    rows = readings(spark, machines, 0, 1, shape.rows, shape)
+    good = rows.groupBy("customer_id").agg(F.bool_and(F.col("fuel_level").between(2, 100) & F.col("payload_weight_t").between(0, 60) & (F.substring("machine_id", 4, 3) == F.substring("customer_id", 5, 3))).alias("fit"))
+    return own.join(good, "customer_id").select("customer_id", "slots_follow", F.col("ids").alias("ids_follow"), (F.col("n").between(200, 240) & F.col("fit")).alias("size_fits"))
