@@ -531,7 +531,7 @@ _CHECKS = " UNION ALL ".join([*(f"SELECT d, '{n} exists' AS check_name, landing
  UNION ALL SELECT d, 'silver has rows', state > 0 FROM ({_RUN}) UNION ALL SELECT d, 'gold has rows', state > 0 FROM ({_RUN})"""])
 
 
-@query(f"SELECT d AS snapshot_day, check_name, passed FROM ({_CHECKS})")
+@query(f"WITH r AS MATERIALIZED ({_RUN}), g AS MATERIALIZED ({_STAGES}) SELECT d AS snapshot_day, check_name, passed FROM ({_CHECKS.replace(f'({_STAGES})', 'g').replace(f'({_RUN})', 'r')})")
 def q48_stored_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The validation battery, run again on the store, for each day."""
     run = lab.ran(spark, sf_dir)
