@@ -99,7 +99,8 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     start = F.col("_copy") * F.col("_source_size") + F.col("_before")
     time = F.when(F.col("_taken") > 0, time_of(start / F.greatest(F.col("_target"), F.lit(1.0)), F.col("_kind")))
     rows = rows.withColumns({"_time": time, "_all": F.lit(0), "_one": (F.col("_taken") > 0).cast("long")})
-    ranges = F.least(F.floor(F.coalesce("_time", F.lit(1.0)) * (1 << bits)), F.lit((1 << bits) - 1)).cast("int")
+    spread = F.pmod(F.xxhash64("_order"), F.lit(1 << bits))  # copies never trained have no time and count for none
+    ranges = F.when(F.col("_time").isNull(), spread).otherwise(F.least(F.floor(F.col("_time") * (1 << bits)), F.lit((1 << bits) - 1))).cast("int")
     placed = running(rows, "_all", "_time", ["_order", "_g", "_copy"], "_one", "_position", bits, ranges)
     return placed.withColumn("_position", F.when(F.col("_taken") > 0, F.col("_position"))).drop("_all", "_one", "_kind", "source")
 
