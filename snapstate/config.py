@@ -24,6 +24,7 @@ class Settings:
     folders: dict[str, str] = field(default_factory=dict)
     tables: dict[str, str] = field(default_factory=dict)
     stop_on_failure: bool = True
+    segment_rows: int = 5_000_000  # consecutive keys of a segment of the state
 
     def path(self, name: str) -> str:
         if name not in FOLDERS:
@@ -47,5 +48,5 @@ class Settings:
             base_path=base_path or data.get("base_path") or paths.get("base_path") or "data",
             pipeline=pipe.get("name", cls.pipeline), kind=pipe.get("type", cls.kind), load_type=data.get("load_type", cls.load_type), database=data.get("database"),
             source_format=source.get("format", cls.source_format), source_options=source.get("options", {}), target_format=target.get("format", cls.target_format),
-            environment=data.get("environment", cls.environment), folders=paths.get("folders", {}), tables=data.get("tables", {}), stop_on_failure=data.get("stop_on_failure", True),
+            environment=data.get("environment", cls.environment), folders=paths.get("folders", {}), tables=data.get("tables", {}), stop_on_failure=data.get("stop_on_failure", True), segment_rows=data.get("segment_rows", cls.segment_rows),
         )

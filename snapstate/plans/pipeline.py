@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..config import FOLDERS, Settings
 from ..functions.layout import range_layout
 from ..functions.predicates import required_missing
-from ..operators import changes, kpi
+from ..operators import changes, kpi, segments
 from ..operators.ingest import conform, name_drift, stamped
 from ..operators.ledger import Audit, Control, Metrics, Quarantine, SchemaHistory, Timer, error_record, gate_on, now, one_row
 from ..operators.quality import quarantined, verdicts
@@ -108,11 +108,8 @@ class Pipeline:
         if done_before:  # the version was shown, but the stage did not finish
             gate, found, had_prior = note["gate"], note["found"], note["had_prior"]
         else:
-            seen, classes = Observation(), Observation()
-            judged = verdicts(rows, rules).observe(seen, F.count("*").alias("n"), F.count_if(F.col("_dq") == DQ_INVALID).alias("invalid"), F.count_if(F.col("_dq") == DQ_DUPLICATE).alias("duplicates"))
             had_prior = self.silver.exists()
-            version = self.silver.stage(changes.apply_snapshot(judged.where("_dq is null").drop("_dq"), self.silver.read() if had_prior else None, rules, classes))
-            gate, found = seen.get, classes.get
+            version, gate, found = self._merged(rows, had_prior, note)
         conserve("silver", gate["n"], found["new"] + found["changed"] + found["unchanged"], gate["invalid"], gate["duplicates"])
         bad = quarantined(verdicts(rows, rules).where("_dq is not null"), F.col("_dq"), self.settings.pipeline, self.control.run_id, "silver_dq_gate").drop("_dq")
         self.quarantine.replace(bad, gate["invalid"] + gate["duplicates"], day, "silver_dq_gate")
@@ -123,6 +120,37 @@ class Pipeline:
         self.store.register("silver")
         return {"rows_read": gate["n"], "rows_written": found["new"] + found["changed"], "rows_rejected": gate["invalid"] + gate["duplicates"], "rows_skipped": found["unchanged"], "merged": found["merged"]}
 
+    def _merged(self, rows: DataFrame, had_prior: bool, note: dict[str, object]) -> tuple[int, dict[str, int], dict[str, int]]:
+        """Stages the next state; returns its version, the gate's counts and the classes' counts."""
+        rules, each, kept = self.rules, self.settings.segment_rows, {}
+        prior = self.silver.read() if had_prior else None
+        seen, classes = Observation(), Observation()
+
+        def clean(rows: DataFrame, rules: RuleSet) -> DataFrame:
+            judged = verdicts(rows, rules).observe(seen, F.count("*").alias("n"), F.count_if(F.col("_dq") == DQ_INVALID).alias("invalid"), F.count_if(F.col("_dq") == DQ_DUPLICATE).alias("duplicates"))
+            return judged.where("_dq is null").drop("_dq")
+
+        if segments.segment_of(rules, each) is None:
+            version = self.silver.stage(changes.apply_snapshot(clean(rows, rules), prior, rules, classes))
+            return version, seen.get, classes.get
+        known = self.silver.segments(each) if had_prior else None
+        if known is not None:
+            here = segments.touched(rows, rules, each)
+            kept = {s: v for s, v in known.items() if s not in here}
+            prior = self.silver.read(segments=here)
+        current = clean(segments.clustered(rows, rules, each, gated=False), segments.segmented(rules))
+        old = None if prior is None else segments.clustered(prior, rules, each, gated=True)
+        with segments.joins_on_subset(self.spark):
+            merged = changes.apply_snapshot(current, old, segments.segmented(rules), classes).drop(segments.PART)
+            version = self.silver.stage_segments(merged, each, kept)
+        found = dict(classes.get)
+        if kept:
+            before = note.get("found", {}).get("merged")
+            before = self.silver.read().count() if before is None else before
+            aside = before - found["changed"] - found["unchanged"] - found["retained"]
+            found |= {"retained": found["retained"] + aside, "merged": found["merged"] + aside}
+        return version, seen.get, found
+
     def run_gold(self) -> dict[str, int]:
         """KPIs replace the table, laid out by machine; an empty state is refused."""
         state = self.silver.read()

@@ -3,7 +3,8 @@
 A StateTable's version is a folder v=N with a marker written after its data; readers take the highest marked version,
 so a swap is one small file and a failed write leaves nothing visible. Writing (stage) and showing (publish) are two
 steps, and the marker carries a note, so that what belongs to a version can be written in between and told after a
-failure. An AppendTable keeps its schema in a file beside its data: reads need no footers. One writer at a time is
+failure. A version may be cut into segments: it then writes those that changed and names, in a manifest, the earlier
+versions whose folders hold the others. An AppendTable keeps its schema in a file beside its data: reads need no footers. One writer at a time is
 assumed. Paths go through Hadoop's file systems, so any store that Spark reads will do.
 """
 
@@ -11,13 +12,14 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARKER, SCHEMA = "_COMMITTED", "_SCHEMA"
+MARKER, SCHEMA, MANIFEST = "_COMMITTED", "_SCHEMA", "_MANIFEST"
+SEGMENT = "_segment"  # the column that a segmented version's folders are named by
 
 
 class Folder:
@@ -60,18 +62,40 @@ class StateTable:
         self.spark, self.path, self.keep_versions = spark, path.rstrip("/"), keep_versions
         self.folder = Folder(spark, path)
 
+    def _folders(self) -> list[int]:
+        return sorted(int(m[1]) for n in self.folder.names() if (m := re.fullmatch(r"v=(\d+)", n)))
+
     def versions(self) -> list[int]:
-        found = [int(m[1]) for n in self.folder.names() if (m := re.fullmatch(r"v=(\d+)", n))]
-        return sorted(v for v in found if self.folder.exists(f"v={v}/{MARKER}"))
+        return [v for v in self._folders() if self.folder.exists(f"v={v}/{MARKER}")]
 
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def _manifest(self, version: int) -> dict[str, object]:
+        name = f"v={version}/{MANIFEST}"
+        return json.loads(self.folder.read_text(name)) if self.folder.exists(name) else {}
+
+    def segments(self, rows_each: int) -> dict[int, int] | None:
+        """Segment -> version whose folder holds it, of the current version; None if that is not cut by rows_each."""
+        known = self.versions()
+        manifest = self._manifest(known[-1]) if known else {}
+        return {int(k): v for k, v in manifest["segments"].items()} if manifest.get("rows_each") == rows_each else None
+
+    def segment_paths(self, version: int) -> dict[int, str]:
+        return {int(s): f"{self.path}/v={v}/{SEGMENT}={s}" for s, v in self._manifest(version).get("segments", {}).items()}
+
+    def read(self, version: int | None = None, segments: Collection[int] | None = None) -> DataFrame:
+        """The current version or another that is kept; of a segmented one also some segments only."""
         known = self.versions()
         if not known or (version is not None and version not in known):
             raise FileNotFoundError(f"{self.path} has no version {version if version is not None else ''}".rstrip())
-        return self.spark.read.parquet(f"{self.path}/v={known[-1] if version is None else version}")
+        version = known[-1] if version is None else version
+        manifest = self._manifest(version)
+        if not manifest:
+            return self.spark.read.parquet(f"{self.path}/v={version}")
+        schema = T.StructType.fromJson(manifest["schema"])
+        paths = [p for s, p in self.segment_paths(version).items() if segments is None or s in segments]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
         return self.read() if self.exists() else self.spark.createDataFrame([], schema)
@@ -84,11 +108,28 @@ class StateTable:
         df.write.parquet(f"{self.path}/v={nxt}")
         return nxt
 
+    def stage_segments(self, df: DataFrame, rows_each: int, kept: Mapping[int, int]) -> int:
+        """Like stage(), for rows with their SEGMENT; the segments in `kept` stay in the versions that hold them."""
+        known = self.versions()
+        nxt = known[-1] + 1 if known else 0
+        self.folder.delete(f"v={nxt}")
+        df.write.partitionBy(SEGMENT).parquet(f"{self.path}/v={nxt}")
+        names = Folder(self.spark, f"{self.path}/v={nxt}").names()
+        written = {int(n.partition("=")[2]): nxt for n in names if n.startswith(f"{SEGMENT}=")}
+        manifest = {"rows_each": rows_each, "segments": {**kept, **written}, "schema": df.drop(SEGMENT).schema.jsonValue()}
+        self.folder.write_text(f"v={nxt}/{MANIFEST}", json.dumps(manifest))
+        return nxt
+
     def publish(self, version: int, note: Mapping[str, object] | None = None) -> int:
-        """Shows a staged version, with a note in its marker, and drops versions no longer kept."""
+        """Shows a staged version, with a note in its marker, and drops versions no longer kept, but for segments that
+        kept ones still refer to."""
         self.folder.write_text(f"v={version}/{MARKER}", json.dumps(dict(note or {}), sort_keys=True, default=str))
-        for old in self.versions()[: -self.keep_versions]:
-            self.folder.delete(f"v={old}")
+        kept = self.versions()[-self.keep_versions :]
+        live = {f"v={v}/{SEGMENT}={s}" for k in kept for s, v in self._manifest(k).get("segments", {}).items()}
+        for old in (v for v in self._folders() if v < kept[0]):
+            inside = [f"v={old}/{n}" for n in Folder(self.spark, f"{self.path}/v={old}").names()]
+            for name in [f"v={old}"] if live.isdisjoint(inside) else sorted(set(inside) - live, key=lambda n: MARKER not in n):
+                self.folder.delete(name)
         return version
 
     def note(self) -> dict[str, object]:
@@ -197,12 +238,16 @@ class Store:
         if not self.database:
             return
         state = self.state(name)
-        path = f"{state.path}/v={state.versions()[-1]}" if state.exists() else self.log(name).path
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored(name).schema)
-        by = [] if state.exists() else [n for n in self._partitions(path)]
+        known = state.versions()
+        path = f"{state.path}/v={known[-1]}" if known else self.log(name).path
+        parts = state.segment_paths(known[-1]) if known else {}
+        columns = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in self._stored(name).schema), *([f"{SEGMENT} bigint"] if parts else [])])
+        by = [SEGMENT] if parts else [] if known else self._partitions(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {self._named(name)}")
         self.spark.sql(f"CREATE TABLE {self._named(name)} ({columns}) USING parquet {'PARTITIONED BY (' + ', '.join(by) + ')' if by else ''} LOCATION '{path}'")
-        if by:
+        if parts:
+            self.spark.sql(f"ALTER TABLE {self._named(name)} ADD " + " ".join(f"PARTITION ({SEGMENT} = {s}) LOCATION '{p}'" for s, p in parts.items()))
+        elif by:
             self.spark.sql(f"MSCK REPAIR TABLE {self._named(name)}")
 
     def _partitions(self, path: str) -> list[str]:
@@ -219,5 +264,5 @@ class Store:
 
     def read(self, name: str) -> DataFrame:
         if self.database and self.spark.catalog.tableExists(f"{self.database}.{name}"):
-            return self.spark.table(f"{self.database}.{name}")
+            return self.spark.table(f"{self.database}.{name}").drop(SEGMENT)
         return self._stored(name)

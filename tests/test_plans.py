@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from snapstate.operators import changes, quality
+from snapstate.operators import changes, quality, segments
 from snapstate.plans import catalogue
 from snapstate.plans import views as V
 from snapstate.schemas import TELEMETRY
@@ -38,6 +38,15 @@ def test_gate_and_merge_share_one_exchange_a_side(spark, tmp_path):
     assert "FullOuter" in plan and len(re.findall(r"Exchange hashpartitioning", plan)) == 2
 
 
+def test_a_segmented_merge_shuffles_each_side_once(spark, tmp_path):
+    rules, each = segments.segmented(TELEMETRY), 10
+    rows = segments.clustered(stored(spark, tmp_path, "a"), TELEMETRY, each, gated=False)
+    prior = segments.clustered(stored(spark, tmp_path, "b"), TELEMETRY, each, gated=True)
+    with segments.joins_on_subset(spark):
+        plan = plan_of(changes.apply_snapshot(quality.verdicts(rows, rules).where("_dq is null").drop("_dq"), prior, rules))
+    assert "FullOuter" in plan and len(re.findall(r"Exchange hashpartitioning", plan)) == 2 and "Exchange SinglePartition" not in plan
+
+
 def test_classification_reads_only_key_and_tracked_columns(spark, tmp_path):
     plan = plan_of(changes.classify(stored(spark, tmp_path, "a"), stored(spark, tmp_path, "b"), TELEMETRY))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)

@@ -274,3 +274,43 @@ def test_latest_metrics_and_z_order(spark):
     assert parts.count() == 256
     boxes = parts.groupBy("p").agg((F.max("x") - F.min("x") + 1).alias("w"), (F.max("y") - F.min("y") + 1).alias("h")).collect()
     assert sum(b["w"] * b["h"] for b in boxes) < 2 * 256
+
+
+def held(table):
+    """Segment -> version of the current state."""
+    return table.segments(10)
+
+
+def test_a_merge_leaves_segments_that_the_snapshot_does_not_have(spark, tmp_path):
+    land(tmp_path, 0, row(-3), row(1), row(11), row(12), row(25))
+    land(tmp_path, 1, row(11, fuel=40), row(12), row(31), row(31, fuel=7), row(33, fuel=500))
+    land(tmp_path, 2, row(31, fuel=9), row(45))
+    land(tmp_path, 3, row(45))
+    settings = Settings(str(tmp_path), segment_rows=10)
+    p = Pipeline(spark, settings)
+    days = p.run_pending()
+    assert all(set(d.status.values()) == {"SUCCESS"} for d in days), [c for d in days for c in d.report.checks if not c["passed"]]
+    assert held(p.silver) == {-1: 0, 0: 0, 1: 1, 2: 0, 3: 2, 4: 3}
+    want = {-3: 50.0, 1: 50.0, 11: 40.0, 12: 50.0, 25: 50.0, 31: 9.0, 45: 50.0}
+    assert {r["reading_id"]: r["fuel_level"] for r in p.silver.read().collect()} == want
+    assert [(d.recon["new_rows"], d.recon["changed_rows"], d.recon["unchanged_rows_skipped"]) for d in days] == [(5, 0, 0), (1, 1, 1), (1, 1, 0), (0, 0, 1)]
+    assert p.silver.note()["found"] == {"new": 0, "changed": 0, "unchanged": 1, "retained": 6, "merged": 7}
+    assert p.silver.versions() == [2, 3] and sorted(x.name for x in (tmp_path / "silver" / "v=0").iterdir() if "=" in x.name) == ["_segment=-1", "_segment=0", "_segment=2"]
+    assert p.silver.rollback() == 2 and held(p.silver) == {-1: 0, 0: 0, 1: 1, 2: 0, 3: 2, 4: 2} and p.silver.read().count() == 7
+    # another size of segments rewrites the state once; columns of older segments that later days added read null
+    land(tmp_path, 4, row(46) + ",depot", head=HEAD + ",site")
+    wide = Pipeline(spark, Settings(str(tmp_path), segment_rows=20))
+    wide.run_day(4, str(tmp_path / "landing" / "snapshot_day4.csv"))
+    assert wide.silver.segments(20) == {-1: 3, 0: 3, 1: 3, 2: 3} and wide.silver.segments(10) is None
+    assert {r["reading_id"]: r["site"] for r in wide.silver.read().where("reading_id > 40").collect()} == {45: None, 46: "depot"}
+
+
+def test_a_state_without_an_integer_key_has_no_segments(spark, tmp_path):
+    from dataclasses import replace
+
+    rules = replace(TELEMETRY, columns={**TELEMETRY.columns, "reading_id": "string"})
+    land(tmp_path, 0, row("a"), row("b"))
+    land(tmp_path, 1, row("b", fuel=1), row("c"))
+    p = Pipeline(spark, Settings(str(tmp_path)), rules)
+    assert all(set(d.status.values()) == {"SUCCESS"} for d in p.run_pending())
+    assert held(p.silver) is None and {r["reading_id"]: r["fuel_level"] for r in p.silver.read().collect()} == {"a": 50.0, "b": 1.0, "c": 50.0}
