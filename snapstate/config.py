@@ -24,7 +24,7 @@ class Settings:
     folders: dict[str, str] = field(default_factory=dict)
     tables: dict[str, str] = field(default_factory=dict)
     stop_on_failure: bool = True
-    segment_rows: int = 5_000_000  # consecutive keys of a segment of the state
+    segment_rows: int = 50_000_000  # consecutive keys of a segment of the state; it is written as at most 64 files
 
     def path(self, name: str) -> str:
         if name not in FOLDERS:

@@ -41,7 +41,8 @@ def new_id() -> str:
 
 
 def one_row(spark: SparkSession, schema: T.StructType, values: Mapping[str, object]) -> DataFrame:
-    return spark.createDataFrame([tuple(values.get(f.name) for f in schema)], schema)
+    """A frame of one row, of literals: it is written by one task, without rows from Python."""
+    return spark.range(1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def latest(events: DataFrame, keys: Iterable[str], at: str = "updated_at") -> DataFrame:

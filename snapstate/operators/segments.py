@@ -19,7 +19,7 @@ from ..functions.predicates import out_of_rules
 from ..schemas import RuleSet
 from ..sources.store import SEGMENT
 
-PART, PARTS = "_part", 8
+PART, PARTS = "_part", 64
 _WHOLE = ("tinyint", "smallint", "int", "bigint", "long")
 
 
@@ -27,7 +27,9 @@ def segment_of(rules: RuleSet, rows_each: int) -> Column | None:
     """The segment of a row, or None where keys have no order to cut along."""
     if len(rules.key) != 1 or rules.columns.get(rules.key[0]) not in _WHOLE:
         return None
-    return F.coalesce(F.floor(F.col(rules.key[0]).cast("decimal(20,0)") / rows_each).cast("long"), F.lit(0).cast("long"))
+    key = F.col(rules.key[0]).cast("long")
+    down = F.when(key % rows_each < 0, 1).otherwise(0)  # the quotient of integers is cut toward zero
+    return F.coalesce(F.call_function("div", key, F.lit(rows_each)) - down, F.lit(0)).cast("long")
 
 
 def segmented(rules: RuleSet) -> RuleSet:
